@@ -21,6 +21,8 @@ ASCII_FORMS = {
 
 # Fixed value: a three-capital code that starts the file name of a Parquet or JSON document.
 FILE_CODE = r"/([A-Z]{3})[^/]*\.(?:parquet|json)$"
+# Fixed value: the value of the last ``name=value`` folder of a path.
+FOLDER_VALUE = r"/[^/=]+=([^/]+)/[^/]*$"
 
 
 @cache

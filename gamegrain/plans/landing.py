@@ -10,10 +10,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gamegrain.functions.text import path_key
+from gamegrain.functions.text import FILE_CODE, FOLDER_VALUE, path_key
 from gamegrain.operators.gates import summary, with_content
 from gamegrain.operators.keys import any_of, listed_ids, only
 from gamegrain.session import materialise
@@ -29,6 +29,12 @@ FILE_DATE = r"/(\d{4}-\d{2}-\d{2})[^/]*\.json$"
 GAME_FEEDS = ("boxscore", "play_by_play", "game_story")
 
 
+def _path_value(pattern: str) -> Column:
+    """Key in the file name, or in the folder of a raw area that is split into ``name=value`` folders."""
+    path = F.col("file_path")
+    return F.coalesce(path_key(path, pattern), path_key(path, FOLDER_VALUE))
+
+
 @dataclass(frozen=True)
 class Landing:
     """One landing run. ``loaded_at`` (UTC) stamps every document, so a run can be repeated exactly."""
@@ -65,7 +71,7 @@ class Landing:
         """Lands the snapshot of the day, team code from the file name; gives the ids of all rostered players."""
         groups = ("forwards", "defensemen", "goalies")
         documents = with_content(self._raw("team_rosters"), *groups)
-        documents = documents.withColumn("team_abbrev", path_key(F.col("file_path"))).drop("file_path")
+        documents = documents.withColumn("team_abbrev", _path_value(FILE_CODE)).drop("file_path")
         day = F.lit(self.loaded_at.date())
         documents = materialise(documents.withColumn("snapshot_date", day), "team-rosters")
         overwrite_partitions(documents, f"{self.out}/team_rosters", "snapshot_date")
@@ -74,7 +80,7 @@ class Landing:
     def schedule(self, periods: DataFrame) -> DataFrame:
         """Lands the weeks that are not closed yet; gives the finished games that are not stored yet."""
         due = open_periods(periods, self.landed("schedule", "period_start date"), self.loaded_at.date())
-        start = path_key(F.col("file_path"), FILE_DATE).cast("date")
+        start = _path_value(FILE_DATE).cast("date")
         weeks = self._raw("schedule").withColumn("period_start", start).drop("file_path")
         weeks = materialise(played_days(only(weeks, due, "period_start")), "schedule")
         overwrite_partitions(weeks, f"{self.out}/schedule", "period_start")
