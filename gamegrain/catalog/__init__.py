@@ -1 +1,6 @@
-"""Queries over the test tables, one or more per operator, each with its SQL counterpart."""
+"""Queries over the shared test tables; importing the package registers all of them."""
+
+from gamegrain.catalog import relational, scans, tables  # noqa: F401
+from gamegrain.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

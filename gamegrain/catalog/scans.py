@@ -71,7 +71,8 @@ def inline_lookup_join(t: Source) -> DataFrame:
         t.spark, {"first": ("MACHINERY", "HOUSEHOLD"), "second": ("BUILDING", "AUTOMOBILE")}, "tier", "c_mktsegment"
     )
     customers = t.customer.select("c_custkey", "c_mktsegment")
-    return join_lookup(join_lookup(customers, sectors, "c_mktsegment"), tiers, "c_mktsegment")
+    joined = join_lookup(join_lookup(customers, sectors, "c_mktsegment"), tiers, "c_mktsegment")
+    return joined.select("c_custkey", "c_mktsegment", "sector", "tier")
 
 
 @query("SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F'")

@@ -1,4 +1,4 @@
-"""Joins to small relations, with their size checked."""
+"""Joins to dimensions and to literal lookups."""
 
 from __future__ import annotations
 
@@ -7,24 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a dimension is sent to every executor.
-BROADCAST_ROWS = 50_000
 
+def join_dimension(facts: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join to a dimension; facts without a match drop.
 
-def small(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The dimension with a broadcast hint if its row count is within the bound, else as it is.
-
-    The count is one aggregate over a narrow scan. Beyond the bound Spark joins by shuffle, and adaptive execution
-    splits the partitions of hot keys.
+    No hint: Spark's byte threshold and adaptive execution decide from measured sizes whether the dimension is sent
+    to every executor, and split the partitions of hot keys otherwise.
     """
-    return F.broadcast(dimension) if dimension.count() <= max_rows else dimension
-
-
-def join_dimension(
-    facts: DataFrame, dimension: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Inner join to a dimension; facts without a match drop."""
-    return facts.join(small(dimension, max_rows), list(on), "inner")
+    return facts.join(dimension, list(on), "inner")
 
 
 def join_lookup(facts: DataFrame, lookup: DataFrame, *on: str) -> DataFrame:
