@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gamegrain.llm import bytebpe, exact, packing, sharding
+from gamegrain.llm import bytebpe, exact, html, packing, sharding, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_trie_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_tree_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract_pages(table(spark, folder, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_dedup(table(spark, folder, "documents"))
 
@@ -36,7 +44,7 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op4_exact_dedup, op5_best_two_fit, op7_lpt_sharding, op8_byte_bpe)
+    for f in (op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op7_lpt_sharding, op8_byte_bpe)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
