@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gamegrain.llm import bytebpe, exact, html, packing, sharding, tokencount
+from gamegrain.llm import bytebpe, exact, html, packing, quality, sharding, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,9 +42,13 @@ def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytebpe.encode_documents(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op9_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op7_lpt_sharding, op8_byte_bpe)
+    for f in (op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op7_lpt_sharding, op8_byte_bpe, op9_kneser_ney_quality)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
