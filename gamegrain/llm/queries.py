@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gamegrain.llm import bytebpe, exact, html, packing, quality, sharding, tokencount
+from gamegrain.llm import bytebpe, exact, html, katz, packing, quality, sharding, tokencount
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,10 @@ def op5_best_two_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), path)
 
 
+def op6_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.score_documents(table(spark, folder, "documents"))
+
+
 def op7_lpt_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_documents(table(spark, folder, "documents"))
 
@@ -48,7 +52,10 @@ def op9_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op7_lpt_sharding, op8_byte_bpe, op9_kneser_ney_quality)
+    for f in (
+        op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op6_katz_backoff, op7_lpt_sharding,
+        op8_byte_bpe, op9_kneser_ney_quality,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
