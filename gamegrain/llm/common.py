@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gamegrain.session import materialise
+from gamegrain.session import scratch_path
 
 # Rows per Arrow batch: whole texts of a few hundred kilobytes each still make batches of tens of megabytes.
 BATCH_ROWS = 512
@@ -33,9 +33,16 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def write_out(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to scratch, compressed well, and read back: lineage is cut in a folder all executors share."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def numbered(df: DataFrame, label: str) -> DataFrame:
     """The rows written to scratch with a unique ``_row``: ids stay the same however often a task is repeated."""
-    return materialise(df.withColumn(ROW, F.monotonically_increasing_id()), label)
+    return write_out(df.withColumn(ROW, F.monotonically_increasing_id()), label)
 
 
 def ranked(df: DataFrame, key: str, name: str) -> DataFrame:

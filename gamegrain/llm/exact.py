@@ -7,9 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamegrain.llm.common import ROW, ascii_lower, numbered, prepare, text_of
+from gamegrain.llm.common import ROW, ascii_lower, numbered, prepare, text_of, write_out
 from gamegrain.llm.perfect import PerfectHash
-from gamegrain.session import materialise
 
 # Distinct digests per index shard: a shard is one binary row of some megabytes.
 KEYS_PER_SHARD = 50_000
@@ -115,9 +114,9 @@ def exact_classes(docs: DataFrame, history: Column, *carry: Column) -> DataFrame
                     F.coalesce(history, F.lit(False)).alias("seen"), F.struct(F.lit(0).alias("-"), *carry).alias("carried")),
         "digests",
     )
-    old = materialise(classes_of(rows.where("seen")), "history")
+    old = write_out(classes_of(rows.where("seen")), "history")
     shards = max(1, -(-old.count() // KEYS_PER_SHARD))
-    index = materialise(build_index(old, shards), "digest-index")
+    index = write_out(build_index(old, shards), "digest-index")
     merged = look_up(classes_of(rows.where("NOT seen")), index, shards)
     joined = rows.drop("seen").join(merged, "digest")
     carried = [F.col("carried").getField(name) for name in rows.schema["carried"].dataType.names[1:]]

@@ -15,8 +15,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gamegrain.llm.common import prepare, text_of
-from gamegrain.session import materialise
+from gamegrain.llm.common import prepare, text_of, write_out
 
 # Text of a batch; a longer document is a batch of its own. A batch becomes a few binary cells of some megabytes.
 BATCH_CHARS = 6_000_000
@@ -299,19 +298,19 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     ``base_score``.
     """
     spark = prepare(docs.sparkSession)
-    batches = materialise(encode_batches(docs, held_out), "batches")
+    batches = write_out(encode_batches(docs, held_out), "batches")
     distinct = batches.agg(F.sum(F.length("words") / 8)).first()[0]
     if distinct is None:
         return spark.createDataFrame([], SCORES)
     shards = max(1, -(-int(distinct) // WORDS_PER_SHARD))
-    asked = materialise(ask_counts(batches, shards), "asked")
+    asked = write_out(ask_counts(batches, shards), "asked")
 
     def tokens_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             yield pd.DataFrame({"n": [int(np.frombuffer(c, np.uint32).sum(dtype=np.int64)) for c in pdf["counts"]]})
 
     tokens = asked.select("counts").mapInPandas(tokens_of, "n long").agg(F.sum("n")).first()[0]
-    answers = materialise(answer_counts(asked, tokens), "answers")
+    answers = write_out(answer_counts(asked, tokens), "answers")
     given = answers.where("kind = 'batch'").select("batch", "shard", "data")
     if not tokens:
         model = Katz(np.array([1], np.uint64), 0, 0, np.ones(TRUSTED + 1), 1.0, np.zeros((3, 3)), 0.0)
