@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gamegrain.llm import bytebpe, exact, html, katz, packing, quality, sharding, tokencount
+from gamegrain.llm import bytebpe, exact, html, katz, near, packing, quality, sharding, tokencount, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.nearest(table(spark, folder, "embeddings"), 20, F.pmod("vec_id", F.lit(20)) == 0)
+
+
 def op2_trie_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -50,11 +55,15 @@ def op9_kneser_ney_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_classes(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op6_katz_backoff, op7_lpt_sharding,
-        op8_byte_bpe, op9_kneser_ney_quality,
+        op1_adaptive_scan, op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op6_katz_backoff,
+        op7_lpt_sharding, op8_byte_bpe, op9_kneser_ney_quality, op10_order_minhash,
     )
 }
 
