@@ -23,6 +23,8 @@ PICKS, SKETCHES = 4, 24
 # Counters that tell common shingles from rare ones. They decide an order only: any values give the same links.
 SLOTS, BLOCKS = 1 << 20, 64
 MEMO = 400_000
+# Joins with texts are planned alike at every size, so a run on a part of the data tells what the whole needs.
+SHUFFLE = "shuffle_merge"
 
 _SEEDS = np.random.default_rng(20).integers(1, 2**63, SKETCHES).astype(np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -143,7 +145,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 
     of_a = texts.select(F.col(ROW).alias("a"), F.col("text").alias("text_a"))
     of_b = texts.select(F.col(ROW).alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(of_b, "b").join(of_a, "a").mapInPandas(run, "a long, b long, linked boolean")
+    met = pairs.hint(SHUFFLE).join(of_b, "b").hint(SHUFFLE).join(of_a, "a")
+    return met.mapInPandas(run, "a long, b long, linked boolean")
 
 
 def _rest(failed: DataFrame, members: DataFrame, labels: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -156,7 +159,7 @@ def _rest(failed: DataFrame, members: DataFrame, labels: DataFrame, texts: DataF
     spark = failed.sparkSession
     near = members.join(failed.select("key").distinct(), "key", "left_semi").select(ROW).distinct()
     near = near.join(failed.select(F.col("b").alias(ROW)).distinct().withColumn("failed", F.lit(True)), ROW, "left")
-    some = texts.join(near, ROW).join(labels.select(F.col("node").alias(ROW), "label"), ROW, "left")
+    some = texts.join(near.hint(SHUFFLE), ROW).join(labels.select(F.col("node").alias(ROW), "label"), ROW, "left")
     some = write_out(some.select(ROW, "text", F.coalesce("label", ROW).alias("label"), F.coalesce("failed", F.lit(False)).alias("failed")), "rest")
     width = SLOTS // BLOCKS
 
@@ -227,7 +230,8 @@ def near_classes(docs: DataFrame, *carry: Column, least: float = SIMILARITY) ->
     weight = members.groupBy(ROW).agg(F.sum(F.log2("n")).alias("weight"))
     centres = members.join(weight, ROW).groupBy("key").agg(F.max_by(ROW, F.struct("weight", F.xxhash64(ROW, "key"))).alias("a"))
     spokes = write_out(members.join(centres, "key").select("key", "a", F.col(ROW).alias("b")).where("a <> b"), "spokes")
-    texts = write_out(rows.select(ROW, "text").join(members.select(ROW).distinct(), ROW, "left_semi"), "candidates")
+    wanted = members.select(ROW).distinct().hint(SHUFFLE)
+    texts = write_out(rows.select(ROW, "text").join(wanted, ROW, "left_semi"), "candidates")
     tested = write_out(_verified(spokes.select("a", "b").distinct(), texts, least), "tested")
     links = tested.where("linked").select("a", "b")
     labels = components(links)
