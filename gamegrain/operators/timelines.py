@@ -47,10 +47,13 @@ def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     starts = pieces.select(
         *keys, "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
     )
+    # Null-safe: rows without a key are a key of their own.
+    begun = starts.toDF(*[f"_of_{name}" for name in starts.columns[:-1]], "_before")
+    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in (*keys, "_part")]
     return (
-        placed.join(starts, [*keys, "_part"])
-        .withColumn("position", F.col("_slot") - F.col("_first") + F.col("_before"))
-        .drop("_part", "_slot", "_first", "_before")
+        placed.join(begun, same)
+        .withColumn("position", F.col("_slot") - F.col("_of__first") + F.col("_before"))
+        .drop("_part", "_slot", *begun.columns)
     )
 
 
@@ -59,20 +62,13 @@ def ordered_lists(
 ) -> DataFrame:
     """Rows → (keys, ``segment``, ``items``): structs of ``order`` and ``fields`` in order, at most ``max_items`` each.
 
-    Keys with no more rows than that have the one segment 0. A longer key goes on in segments 1, 2, …, cut at exact
-    positions, so reading the segments in turn gives the whole list. ``order`` has to name all columns that make
-    rows differ if equal rows are not interchangeable. Keys must not be NULL.
+    Segment ``floor(position / max_items)`` for every key, of any size; reading the segments in turn gives the whole
+    list. ``order`` has to name all columns that make rows differ if equal rows are not interchangeable. Rows whose key
+    is NULL are one list.
     """
     wanted = list(dict.fromkeys([*order, *fields]))
     rows = df.select(*keys, *[name for name in wanted if name not in keys])
     items = F.sort_array(F.collect_list(F.struct(*wanted))).alias("items")
-    long_keys = rows.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > max_items).select(*keys)
-    long_keys = materialise(long_keys, "long-keys")
-    some_long = not long_keys.isEmpty()
-    short = rows.join(long_keys, list(keys), "left_anti") if some_long else rows
-    short = short.groupBy(*keys).agg(items).select(*keys, F.lit(0).cast("bigint").alias("segment"), "items")
-    if not some_long:
-        return short
-    placed = positions(rows.join(long_keys, list(keys), "left_semi"), keys, order)
+    placed = positions(rows, keys, order)
     segment = F.floor(F.col("position") / max_items).cast("bigint").alias("segment")
-    return short.unionByName(placed.groupBy(*keys, segment).agg(items))
+    return placed.groupBy(*keys, segment).agg(items)
