@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gamegrain.catalog.base import Source, query
 from gamegrain.functions.clocks import utc_second
-from gamegrain.plans import boxscores, players, schedule, teams
+from gamegrain.plans import boxscores, players, schedule, stories, teams
 from gamegrain.sources.feeds import landed_schema
 from gamegrain.sources.lookups import FINAL_STATE, membership
 from gamegrain.streaming.increments import finished_games, played_days
@@ -185,3 +185,96 @@ def rosters_flow(t: Source) -> DataFrame:
     documents = stored.join(named, "c_nationkey").select("team_abbrev", "forwards", "defensemen", "goalies", F.lit(LOADED_AT).alias("updated_at"))
     known = t.nation.select(F.col("n_nationkey").alias("team_id"), F.col("n_name").alias("team_abbrev"), F.col("n_name").alias("team_name"))
     return teams.team_rosters(documents, known).select("team_id", "team_abbrev", "player_id", "player_full_name", "position")
+
+
+_STATS = ("sog", "blockedShots", "giveaways", "takeaways", "hits", "pim")
+
+
+def _stories(t: Source) -> DataFrame:
+    """One document per order: each line is a period with one goal, finished lines are the home side's statistics."""
+    assist = F.struct(F.col("l_suppkey").alias("playerId"))
+    goal = F.struct(
+        F.col("l_partkey").alias("playerId"), F.col("l_returnflag").alias("strength"),
+        F.concat(F.lpad((F.col("l_suppkey") % 20).cast("string"), 2, "0"), F.lit(":"),
+                 F.lpad((F.col("l_partkey") % 60).cast("string"), 2, "0")).alias("timeInPeriod"),
+        F.col("l_suppkey").alias("homeScore"), F.col("l_linenumber").cast("bigint").alias("awayScore"),
+        F.array(assist).alias("assists"), F.lit("?").alias("extra"),
+    )
+    period = F.struct(F.array(goal).alias("goals"), F.struct(F.col("l_linenumber").alias("number")).alias("periodDescriptor"))
+    sums = {}
+    for side, status in (("home", "F"), ("away", "O")):
+        here = F.col("l_linestatus") == status
+        sums[f"{side}_q"] = F.sum(F.when(here, F.col("l_quantity")).otherwise(0)).cast("bigint")
+        sums[f"{side}_n"] = F.count(F.when(here, 1))
+        sums[f"{side}_r"] = F.count(F.when(here & (F.col("l_returnflag") == "R"), 1))
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("id")).agg(
+        F.to_json(F.collect_list(period)).alias("summary.scoring"), *[c.alias(n) for n, c in sums.items()]
+    )
+
+    def stat(category: str, home: Column, away: Column) -> Column:
+        return F.struct(F.lit(category).alias("category"), away.cast("string").alias("awayValue"), home.cast("string").alias("homeValue"))
+
+    ratio = [F.concat(F.col(f"{s}_r").cast("string"), F.lit("/"), F.col(f"{s}_n").cast("string")) for s in ("home", "away")]
+    stats = F.array(*[stat(c, F.col("home_q") + i, F.col("away_q") + i) for i, c in enumerate(_STATS)],
+                    stat("faceoffWinningPctg", F.lit(0.5), F.lit(0.25)), stat("powerPlay", *ratio), stat("powerPlay", ratio[1], ratio[0]))
+    star = "struct<star:bigint,playerId:bigint>"
+    placed = ((3, F.col("id")), (1, F.col("id") + 1), (2, F.lit(7)))
+    stars = F.array(*[F.struct(F.lit(place), player).cast(star) for place, player in placed])
+    values = {
+        "gameType": F.lit(2), "season": F.lit(20242025), "startTimeUTC": F.lit("2024-10-08T20:30:00Z"),
+        "homeTeam.score": F.col("home_n"), "awayTeam.score": F.col("away_n"), "homeTeam.id": F.col("id"), "awayTeam.id": F.col("id") + 1,
+        "homeTeam.placeName.default": F.lit("Montréal"), "homeTeam.name.default": F.lit("home"), "awayTeam.name.default": F.lit("away"),
+        "periodDescriptor.periodType": F.when(F.col("home_q") > F.col("away_q"), "REG").otherwise("OT"),
+        "summary.threeStars": stars, "summary.teamGameStats": stats, "updated_at": F.lit(LOADED_AT),
+        "id": F.col("id"), "summary.scoring": F.col("`summary.scoring`"),
+    }
+    return lines.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in landed_schema("game_story").fields])
+
+
+@query("""
+    WITH g AS (
+        SELECT *, CASE WHEN l_linenumber = 5 THEN 3900 ELSE (l_suppkey % 20) * 60 + l_partkey % 60 + (l_linenumber - 1) * 1200 END AS s,
+               CASE WHEN l_linenumber = 5 THEN '65:00'
+                    WHEN l_linenumber = 1 THEN lpad(CAST(l_suppkey % 20 AS VARCHAR), 2, '0') || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0')
+                    ELSE CAST(l_suppkey % 20 + (l_linenumber - 1) * 20 AS VARCHAR) || ':' || lpad(CAST(l_partkey % 60 AS VARCHAR), 2, '0') END AS c
+        FROM lineitem)
+    SELECT l_orderkey AS game_id, 'Montreal home' AS home_team_name, 'away' AS away_team_name,
+           (l_orderkey + 1) || ',7,' || l_orderkey AS stars,
+           string_agg(c, ',' ORDER BY s, c, l_suppkey, l_linenumber, l_returnflag, l_partkey) AS times,
+           string_agg(l_partkey, ',' ORDER BY s, c, l_suppkey, l_linenumber, l_returnflag, l_partkey) AS scorers,
+           string_agg(l_suppkey, ',' ORDER BY s, c, l_suppkey, l_linenumber, l_returnflag, l_partkey) AS assists
+    FROM g GROUP BY l_orderkey
+""")
+def game_results_flow(t: Source) -> DataFrame:
+    """Goals out of JSON text, ordered by the clock of the game, as parallel arrays; the stars by their number."""
+    rows = stories.game_results(stories.story_games(_stories(t)))
+
+    def text(array: Column) -> Column:
+        return F.array_join(array.cast("array<string>"), ",")
+
+    return rows.select(
+        "game_id", "home_team_name", "away_team_name", text(F.col("three_stars_player_ids")).alias("stars"),
+        text(F.col("goals_goal_time")).alias("times"), text(F.col("goals_scorer_player_id")).alias("scorers"),
+        text(F.flatten("goals_assists_player_ids")).alias("assists"),
+    )
+
+
+@query("""
+    WITH s AS (
+        SELECT l_orderkey, side, CAST(sum(CASE WHEN l_linestatus = side THEN l_quantity ELSE 0 END) AS BIGINT) AS q,
+               count(*) FILTER (WHERE l_linestatus = side) AS n,
+               count(*) FILTER (WHERE l_linestatus = side AND l_returnflag = 'R') AS r
+        FROM lineitem, (VALUES ('F'), ('O')) v(side) GROUP BY ALL)
+    SELECT a.l_orderkey AS game_id, CASE a.side WHEN 'F' THEN 'home' ELSE 'away' END AS team_type, a.n AS score,
+           CASE WHEN a.n > b.n THEN 2 WHEN h.q > w.q THEN 0 ELSE 1 END AS points, a.q AS shots_on_goal, b.q AS shots_against,
+           a.q + 5 AS penalty_minutes, a.r AS power_play_goals, a.n AS times_power_play, b.n AS times_shorthand, b.n - b.r AS penalty_kill,
+           round(CAST(CAST(CASE WHEN b.n = 0 THEN 0 ELSE (b.n - b.r) / b.n END AS FLOAT) AS DOUBLE), 4) AS penalty_kill_pctg
+    FROM s a JOIN s b ON a.l_orderkey = b.l_orderkey AND a.side <> b.side
+    JOIN s h ON h.l_orderkey = a.l_orderkey AND h.side = 'F' JOIN s w ON w.l_orderkey = a.l_orderkey AND w.side = 'O'
+""")
+def team_game_stats_flow(t: Source) -> DataFrame:
+    """Two rows per game; what one side's shots are, the other has against it. Of a repeated category the first counts."""
+    rows = stories.team_game_stats(stories.story_games(_stories(t)))
+    names = ["game_id", "team_type", "score", "points", "shots_on_goal", "shots_against", "penalty_minutes", "power_play_goals",
+             "times_power_play", "times_shorthand", "penalty_kill"]
+    return rows.select(*names, F.round(F.col("penalty_kill_pctg").cast("double"), 4).alias("penalty_kill_pctg"))
