@@ -119,7 +119,7 @@ def exact_classes(docs: DataFrame, history: Column, *carry: Column) -> DataFrame
     index = write_out(build_index(old, shards), "digest-index")
     merged = look_up(classes_of(rows.where("NOT seen")), index, shards)
     joined = rows.drop("seen").join(merged, "digest")
-    carried = [F.col("carried").getField(name) for name in rows.schema["carried"].dataType.names[1:]]
+    carried = [F.col("carried").getField(name).alias(name) for name in rows.schema["carried"].dataType.names[1:]]
     return joined.select(
         "doc_id", *carried, F.when(F.col("win_has"), F.col("win_id")).alias("keep_id"), "group_size",
         (F.col(ROW) == F.col("win_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
