@@ -30,7 +30,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class."""
-    return near.near_classes(docs, _row()).where("kept").select(f"{WHOLE}.*")
+    return near.near_classes(docs, whole=True).where("kept").select("document.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gamegrain.llm.common import ROW, numbered, prepare, text_of, write_out
@@ -204,8 +204,8 @@ def _rest(failed: DataFrame, members: DataFrame, labels: DataFrame, texts: DataF
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def near_classes(docs: DataFrame, *carry: Column, least: float = SIMILARITY) -> DataFrame:
-    """``doc_id, class_id, class_size, kept`` for every row, and the columns in ``carry``.
+def near_classes(docs: DataFrame, whole: bool = False, least: float = SIMILARITY) -> DataFrame:
+    """``doc_id, class_id, class_size, kept`` for every row, and with ``whole`` the row itself as ``document``.
 
     Texts are compared by five-word shingles of the lower-cased words; texts of fewer words are near only if their
     words are the same. Links join texts whose aligned shingles make up 0.8 or more of all; classes are what links
@@ -217,10 +217,9 @@ def near_classes(docs: DataFrame, *carry: Column, least: float = SIMILARITY) ->
     through ``_rest``. So a bucket of any size gives one pair a text.
     """
     prepare(docs.sparkSession)
-    rows = numbered(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"), F.struct(F.lit(0).alias("-"), *carry).alias("carried")),
-        "near-rows",
-    )
+    row = F.struct("*") if whole else F.struct("text")
+    rows = numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("document")), "near-rows")
+    rows = rows.withColumn("text", text_of("document.text"))
     sketches = write_out(_sketches(rows), "sketches")
     copies = write_out(sketches.groupBy("same").agg(F.min(ROW).alias("_first")), "copies")
     single = sketches.join(copies.select(F.col("_first").alias(ROW)), ROW, "left_semi")
@@ -253,8 +252,6 @@ def near_classes(docs: DataFrame, *carry: Column, least: float = SIMILARITY) ->
     decided = placed.join(groups, "label").select(
         ROW, F.col("w.doc_id").alias("class_id"), "class_size", (F.col(ROW) == F.col(f"w.{ROW}")).alias("kept")
     )
-    names = rows.schema["carried"].dataType.names[1:]
-    if not names:
+    if not whole:
         return placed.drop("label").join(decided, ROW).drop(ROW)
-    kept = rows.join(decided, ROW)
-    return kept.select("doc_id", *[F.col("carried").getField(n).alias(n) for n in names], "class_id", "class_size", "kept")
+    return rows.join(decided, ROW).select("doc_id", "document", "class_id", "class_size", "kept")
