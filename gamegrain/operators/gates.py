@@ -29,6 +29,12 @@ def expect_distinct(df: DataFrame, column: str, expected: int) -> None:
         raise GateError(f"{found} distinct {column} instead of {expected}")
 
 
+def expect_keys(df: DataFrame, key: str) -> None:
+    """Raise if a row has no key."""
+    if not df.where(F.col(key).isNull()).isEmpty():
+        raise GateError(f"rows without {key}")
+
+
 def expect_rows(df: DataFrame, what: str) -> None:
     """Raise if there is no row; looks at one row only."""
     if df.isEmpty():

@@ -78,13 +78,13 @@ class Landing:
         return listed_ids(documents, *[F.col(group).getField("id") for group in groups], name="player_id")
 
     def schedule(self, periods: DataFrame) -> DataFrame:
-        """Lands the weeks that are not closed yet; gives the finished games that are not stored yet."""
+        """Lands the weeks that are not closed yet; gives the finished games of all landed weeks that are not stored yet."""
         due = open_periods(periods, self.landed("schedule", "period_start date"), self.loaded_at.date())
-        start = _path_value(FILE_DATE).cast("date")
+        start = _path_value(FILE_DATE).try_cast("date")
         weeks = self._raw("schedule").withColumn("period_start", start).drop("file_path")
         weeks = materialise(played_days(only(weeks, due, "period_start")), "schedule")
         overwrite_partitions(weeks, f"{self.out}/schedule", "period_start")
-        finished = finished_games(weeks, self.game_types, self.final_state)
+        finished = finished_games(self.landed("schedule"), self.game_types, self.final_state)
         return new_keys(finished, self.stored_games(), "game_id")
 
     def stored_games(self) -> DataFrame:
@@ -98,7 +98,7 @@ class Landing:
         """Lands one feed of the given games and returns the documents."""
         wanted = only(self._raw(feed).drop("file_path"), games.select(F.col("game_id").alias("id")), "id")
         documents = materialise(wanted, feed)
-        put_documents(documents, f"{self.out}/{feed}", "id")
+        put_documents(documents, f"{self.out}/{feed}", "id", "updated_at")
         return documents
 
     def play_by_play(self, games: DataFrame) -> DataFrame:
@@ -111,7 +111,7 @@ class Landing:
         work = materialise(any_of(*ids), "players")
         wanted = only(self._raw("players").drop("file_path"), work.select(F.col("player_id").alias("playerId")),
                       "playerId")
-        put_documents(wanted, f"{self.out}/players", "playerId")
+        put_documents(wanted, f"{self.out}/players", "playerId", "updated_at")
         return work
 
     def run(self, periods: DataFrame) -> DataFrame:

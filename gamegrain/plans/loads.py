@@ -15,7 +15,6 @@ from gamegrain.sinks.tables import Table, read_or_empty
 from gamegrain.sources import lookups
 from gamegrain.sources.feeds import landed_schema
 from gamegrain.sources.inventory import file_inventory, latest_snapshot, newest_file
-from gamegrain.sources.readers import read_feed
 from gamegrain.streaming.increments import reload_due
 
 
@@ -42,7 +41,7 @@ class Loads:
         newest = newest_file(file_inventory(self.spark, f"{self.landed}/team_meta"))
         if not reload_due(newest, table.read(), now, max_age_days):
             return False
-        documents = read_feed(self.spark, newest.first()["path"], "team_meta")
+        documents = latest_snapshot(self.feed("team_meta", "loaded_on date"), "loaded_on")
         table.append(
             teams.team_meta(documents, lookups.conferences(self.spark), lookups.divisions(self.spark))
         )

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gamegrain.operators.gates import expect_keys
 from gamegrain.operators.keys import key_set, only, without
+from gamegrain.operators.versions import latest_by
 from gamegrain.session import materialise
 from gamegrain.sinks.tables import read_or_empty
 
@@ -24,14 +26,23 @@ def with_block(df: DataFrame, key: str, block_keys: int = BLOCK_KEYS) -> DataFra
     return df.withColumn("block", F.floor(F.col(key) / block_keys).cast("bigint"))
 
 
-def put_documents(df: DataFrame, path: str, key: str, block_keys: int = BLOCK_KEYS) -> None:
+def put_documents(
+    df: DataFrame, path: str, key: str, version: str = "block", block_keys: int = BLOCK_KEYS
+) -> None:
     """Store documents by key, replacing those that are there already.
 
-    Only the blocks of the new keys are read (partition pruning by semi join) and written again.
+    Of several documents with one key in ``df`` the one with the largest ``version`` stays, equal ones are decided by
+    the other columns. A NULL key is refused, and nothing is stored then. No rows: nothing changes. Only the blocks of
+    the new keys are written again; those between the first and the last of them are read (partition filter).
     """
     blocked = with_block(df, key, block_keys)
-    incoming = materialise(blocked, "incoming")
+    incoming = materialise(latest_by(blocked, [key], version), "incoming")
+    expect_keys(incoming, key)
+    span = incoming.agg(F.min("block").alias("low"), F.max("block").alias("high")).first()
+    if span["low"] is None:
+        return
     stored = read_or_empty(df.sparkSession, path, blocked.schema)
-    kept = without(only(stored, key_set(incoming, "block"), "block"), incoming, key)
+    near = stored.where(F.col("block").between(span["low"], span["high"]))
+    kept = without(only(near, key_set(incoming, "block"), "block"), incoming, key)
     merged = materialise(incoming.unionByName(kept), "merged")
     overwrite_partitions(merged, path, "block")

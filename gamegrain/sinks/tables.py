@@ -1,6 +1,7 @@
 """Tables on files: append-once facts, versioned upserts, staged snapshots.
 
-A table is a folder with one sub-folder per snapshot and a small ``published`` table that names the valid ones. A
+A table is a folder with one sub-folder per write and a small ``published`` table that names the valid ones. An append
+joins the current generation, a replacement begins a new one; readers take all snapshots of the newest generation. A
 snapshot that was not published does not exist for readers, so a lost executor, a failed job or a failed gate leaves
 the table as it was, and nothing ever overwrites files that a running query reads. One writer at a time per table.
 """
@@ -21,7 +22,7 @@ from gamegrain.operators.keys import key_set, without
 from gamegrain.operators.versions import latest_by
 from gamegrain.sinks.contracts import TableSpec, conform
 
-_PUBLISHED = "snapshot string, published_at timestamp"
+_PUBLISHED = "snapshot string, generation string, published_at timestamp"
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -43,15 +44,19 @@ class Table:
     spec: TableSpec
     spread_by: tuple[str, ...] = ()
 
-    def _snapshot(self) -> str | None:
+    def _generation(self) -> tuple[str | None, list[str]]:
+        """The newest generation and its snapshots: one per append since the last replacement."""
         published = read_or_empty(self.spark, f"{self.root}/published", _PUBLISHED)
-        return published.agg(F.max("snapshot")).first()[0]
+        row = published.groupBy("generation").agg(F.collect_set("snapshot").alias("parts")).agg(
+            F.max(F.struct("generation", "parts")).alias("newest")
+        ).first()["newest"]
+        return (None, []) if row is None else (row["generation"], row["parts"])
 
     def _path(self, snapshot: str) -> str:
         return f"{self.root}/snapshots/{snapshot}"
 
-    def _publish(self, snapshot: str) -> None:
-        row = self.spark.createDataFrame([(snapshot, datetime.now(timezone.utc))], _PUBLISHED)
+    def _publish(self, snapshot: str, generation: str) -> None:
+        row = self.spark.createDataFrame([(snapshot, generation, datetime.now(timezone.utc))], _PUBLISHED)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/published")
 
     def _write(self, df: DataFrame, snapshot: str) -> None:
@@ -70,11 +75,11 @@ class Table:
         return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
 
     def read(self) -> DataFrame:
-        """All rows of the published snapshot, every version of a key included."""
-        snapshot = self._snapshot()
-        if snapshot is None:
+        """All published rows, every version of a key included."""
+        _, snapshots = self._generation()
+        if not snapshots:
             return self.spark.createDataFrame([], self.spec.schema)
-        return read_or_empty(self.spark, self._path(snapshot), self.spec.schema)
+        return self.spark.read.schema(self.spec.schema).parquet(*map(self._path, snapshots))
 
     def latest(self) -> DataFrame:
         """The newest version of every key."""
@@ -85,14 +90,11 @@ class Table:
         return key_set(self.read(), *(keys or self.spec.keys), where=where)
 
     def append(self, df: DataFrame) -> None:
-        """Add rows to the published snapshot (the first append creates it)."""
-        snapshot = self._snapshot()
-        if snapshot is not None:
-            self._write(df, snapshot)
-            return
+        """Add rows, all or none: they lie in a folder of their own, which is published when it is whole."""
+        generation, _ = self._generation()
         snapshot = self._new_snapshot()
         self._write(df, snapshot)
-        self._publish(snapshot)
+        self._publish(snapshot, generation or snapshot)
 
     def append_new(self, df: DataFrame, guard: str | None = None) -> None:
         """Add only rows whose guard key (by default the first key) is not loaded yet."""
@@ -105,8 +107,13 @@ class Table:
         self._write(df, snapshot)
         staged = read_or_empty(self.spark, self._path(snapshot), self.spec.schema)
         expect_rows(staged, f"the staged snapshot of {self.spec.name}")
-        self._publish(snapshot)
+        self._publish(snapshot, snapshot)
 
     def compact(self) -> None:
-        """Replace a versioned table by the newest version of every key; running it again changes nothing."""
-        self.replace(self.latest())
+        """Replace a versioned table by the newest version of every key; running it again changes nothing.
+
+        An empty table stays as it is.
+        """
+        newest = self.latest()
+        if not newest.isEmpty():
+            self.replace(newest)
