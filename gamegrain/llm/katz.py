@@ -1,40 +1,63 @@
-"""Katz backoff language model: counts of all training text, scores of all text.
+"""Katz backoff language model: word and bigram counts of all training text, scores of all text.
 
-Words are 64-bit digests. A batch of documents is kept as word places into the batch's own sorted words, so counts can
-be asked for and given back as arrays, one for each batch and word shard, instead of a row for each token.
+Words are 64-bit digests. A batch of documents is kept as word places into the batch's own words, so counts can be asked
+for and given back as arrays, one for each batch and shard, instead of a row for each token. Both orders of the model
+are tables partitioned in this way: word shards hold the counts of words, pair shards those of bigrams, and every word
+and bigram of the training text has its own entry. A token's probability is its discounted bigram where that was seen,
+else the context's backoff weight times the discounted word, else the weight times what is left for unseen words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gamegrain.llm.common import prepare, text_of, write_out
 
 # Text of a batch; a longer document is a batch of its own. A batch becomes a few binary cells of some megabytes.
-BATCH_CHARS = 6_000_000
-# Distinct words of all batches that a word shard handles.
+BATCH_CHARS = 16_000_000
+# Distinct words of all batches that a word shard handles, and tokens for each pair shard.
 WORDS_PER_SHARD = 400_000
-# A word with at least this share of the training tokens has n-grams of its own, so there are at most 1 / SHARE such
-# words (and the end), whatever the corpus. All others share one class in n-grams and are told apart by their own counts.
-SHARE = 1 / 1500
+TOKENS_PER_SHARD = 2_000_000
+# Contexts with at least this share of the training tokens are hot: their bigrams are spread over all pair shards and
+# their sums added up afterwards. There are at most 1 / SHARE of them (and the start and end), whatever the corpus.
+SHARE = 1 / 50_000
 # Counts above this are trusted as they are (Good-Turing discounts the others).
 TRUSTED = 5
 
-END = 0  # digest of the end of a text
-RARE, START = 0, 1  # classes; START is a context only
+END, START = 0, 1  # digests of the end of a text, and of the context before its first word
 
-BATCHES = "batch long, doc_ids binary, has_ids binary, held_out binary, ends binary, places binary, words binary"
+BATCHES = "batch long, tokens long, trained long, distinct long, data binary"
+BATCH_COLUMNS = ["batch", "tokens", "trained", "distinct", "data"]
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed value, byte planes apart; ``unpack`` needs their types."""
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays]
+    lengths = np.array([len(a) for a in arrays], np.int64)
+    return zstandard.compress(b"".join([lengths.tobytes(), *planes]), 3)
+
+
+def unpack(value: bytes, *types: type) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.decompress(value), np.uint8)
+    out, at = [], 8 * len(types)
+    for n, kind in zip(raw[:at].view(np.int64).tolist(), types):
+        size = np.dtype(kind).itemsize
+        planes = raw[at : at + n * size].reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * size
+    return out
 
 
 def word_digest(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) or 1
+    return max(xxhash.xxh3_64_intdigest(word), START + 1)
 
 
 def encode_batches(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -51,12 +74,15 @@ def encode_batches(docs: DataFrame, held_out: Column) -> DataFrame:
         part = None
 
         def batch() -> pd.DataFrame:
-            words, places = np.unique(np.concatenate(tokens), return_inverse=True)
-            return pd.DataFrame({
-                "batch": [part], "doc_ids": [np.array(ids, np.int64).tobytes()], "has_ids": [np.array(has).tobytes()],
-                "held_out": [np.array(out).tobytes()], "ends": [np.array(ends, np.int64).tobytes()],
-                "places": [places.astype(np.uint32).tobytes()], "words": [words.tobytes()],
-            })
+            words, places, counts = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+            # Frequent words first: small places compress well.
+            order = np.argsort(-counts, kind="stable")
+            rank = np.empty(len(order), np.uint32)
+            rank[order] = np.arange(len(order), dtype=np.uint32)
+            lengths = np.diff(ends, prepend=0)
+            cells = (np.array(ids, np.int64), np.array(has), np.array(out), lengths, rank[places], words[order])
+            trained = int(lengths[~cells[2]].sum())
+            return pd.DataFrame([(part, n, trained, len(words), pack(*cells))], columns=BATCH_COLUMNS)
 
         for pdf in parts:
             columns = (pdf[name] for name in ("doc_id", "has_id", "held", "text", "row"))
@@ -91,11 +117,27 @@ def encode_batches(docs: DataFrame, held_out: Column) -> DataFrame:
     return rows.mapInPandas(run, BATCHES)
 
 
-def _split(row: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Places, ends, whether each document is held out, and whether each token is."""
-    places, ends = np.frombuffer(row.places, np.uint32), np.frombuffer(row.ends, np.int64)
-    held = np.frombuffer(row.held_out, bool)
-    return places, ends, held, np.repeat(held, np.diff(ends, prepend=0))
+@dataclass
+class Batch:
+    """A batch of documents taken apart: ``places`` of its tokens in ``words``, the documents' ``ends`` in it."""
+
+    ids: np.ndarray
+    has: np.ndarray
+    held: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    places: np.ndarray
+    words: np.ndarray
+
+    @classmethod
+    def of(cls, data: bytes) -> Batch:
+        ids, has, held, lengths, places, words = unpack(data, np.int64, bool, bool, np.int64, np.uint32, np.uint64)
+        ends = np.cumsum(lengths)
+        return cls(ids, has, held, ends - lengths, ends, places.astype(np.int64), words)
+
+    def training(self) -> np.ndarray:
+        """Whether each token is of the training text."""
+        return ~np.repeat(self.held, self.ends - self.starts)
 
 
 def ask_counts(batches: DataFrame, shards: int) -> DataFrame:
@@ -105,16 +147,17 @@ def ask_counts(batches: DataFrame, shards: int) -> DataFrame:
         edges = np.array([(i << 64) // shards for i in range(1, shards)], np.uint64)
         for pdf in parts:
             for row in pdf.itertuples():
-                words = np.frombuffer(row.words, np.uint64)
-                places, _, _, held = _split(row)
-                counts = np.bincount(places[~held], minlength=len(words))
+                b = Batch.of(row.data)
+                order = np.argsort(b.words)
+                words = b.words[order]
+                counts = np.bincount(b.places[b.training()], minlength=len(words))[order].astype(np.uint32)
                 cuts = [0, *np.searchsorted(words, edges).tolist(), len(words)]
                 yield pd.DataFrame([
-                    (row.batch, shard, words[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes(), b - a)
-                    for shard, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a
-                ], columns=["batch", "shard", "words", "counts", "n"])
+                    (row.batch, shard, pack(words[i:j], counts[i:j]))
+                    for shard, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i
+                ], columns=["batch", "shard", "data"])
 
-    return batches.mapInPandas(run, "batch long, shard int, words binary, counts binary, n long")
+    return batches.mapInPandas(run, "batch long, shard int, data binary")
 
 
 ANSWER = "kind string, batch long, shard int, data binary, value long, n long"
@@ -127,17 +170,18 @@ def answer_counts(asked: DataFrame, tokens: int) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         shard = int(pdf["shard"].iloc[0])
-        words = [np.frombuffer(w, np.uint64) for w in pdf["words"]]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in pdf["counts"]]).astype(np.int64)
+        words, asked = zip(*(unpack(value, np.uint64, np.uint32) for value in pdf["data"]), strict=True)
+        counts = np.concatenate(asked)
         distinct, at = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.int64)
         rows, start = [], 0
         for batch, own in zip(pdf["batch"], words):
-            rows.append(("batch", batch, shard, total[at[start : start + len(own)]].tobytes(), 0, 0))
+            rows.append(("batch", batch, shard, pack(total[at[start : start + len(own)]]), 0, 0))
             start += len(own)
         low = np.minimum(total, TRUSTED + 2)
         rows += [("size", 0, shard, None, r, int(n)) for r, n in enumerate(np.bincount(low)) if r and n]
-        rows += [("frequent", 0, shard, None, int(distinct[i].astype(np.int64)), int(total[i])) for i in np.nonzero((total >= bound) | (distinct == END))[0]]
+        often = np.nonzero((total >= bound) | (distinct == END))[0]
+        rows += [("frequent", 0, shard, None, int(distinct[i].astype(np.int64)), int(total[i])) for i in often]
         return pd.DataFrame(rows, columns=["kind", "batch", "shard", "data", "value", "n"])
 
     return asked.groupBy("shard").applyInPandas(run, ANSWER)
@@ -167,67 +211,234 @@ def discounted(counts: np.ndarray, discounts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Katz:
-    """The model's tables. ``words`` are the frequent digests, sorted; word i has class i + 2."""
+    """What every task needs of the model; all bounded. ``hot`` are the digests of hot contexts, sorted, with the words'
+    own ``counts``; ``sums`` are the contexts' figures (``context_sums``)."""
 
-    words: np.ndarray
+    hot: np.ndarray
+    counts: np.ndarray
     tokens: int
     types: int
     discounts: np.ndarray
     unseen: float  # probability of all unseen words together
-    log_next: np.ndarray  # log10 P(class | context class)
-    log_rare: float  # log10 of the unigram probability of the rare class
-    mass: float = 1.0  # what the discounts leave to the seen words
+    mass: float  # what the discounts leave to the seen words
+    pair_discounts: np.ndarray
+    sums: np.ndarray
 
-    def class_of(self, digests: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.words, digests), len(self.words) - 1)
-        return np.where(self.words[at] == digests, at + 2, RARE)
+    @classmethod
+    def empty(cls) -> Katz:
+        ones = np.ones(TRUSTED + 1)
+        return cls(np.array([START], np.uint64), np.zeros(1, np.int64), 0, 0, ones, 1.0, 1.0, ones, np.zeros((1, SUMS)))
+
+    def code_of(self, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places among the hot contexts, and whether each is one."""
+        at = np.minimum(np.searchsorted(self.hot, digests), len(self.hot) - 1)
+        return at, self.hot[at] == digests
 
     def unigram(self, counts: np.ndarray) -> np.ndarray:
         """P(word) from its count; words that were never seen count as one type."""
-        seen = discounted(counts, self.discounts) / self.tokens
+        seen = discounted(counts, self.discounts) / max(self.tokens, 1)
         return np.where(counts > 0, seen * (1 - self.unseen) / self.mass, self.unseen)
 
+    def backoff(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each context: the factor on its discounted shares (1 but where nothing is left for the unseen), and the
+        weight of the lower order that makes all its probabilities sum to exactly one."""
+        total, by_count, lower = sums[:, 0], sums[:, 1 : TRUSTED + 1], sums[:, TRUSTED + 1]
+        taken = by_count @ (np.arange(1, TRUSTED + 1) * (1 - self.pair_discounts[1:]))
+        # A context whose counts are all above the trusted ones: it gives 1 / (n + 1) to what it has not seen.
+        none = (total > 0) & (taken < 1e-9 * total)
+        factor = np.where(none, total / (total + 1), 1.0)
+        left = np.where(none, 1 / (total + 1), taken / np.maximum(total, 1))
+        weight = left / np.maximum(1 - lower, self.unseen)
+        return factor, np.where(total > 0, weight, 1.0)
+
+
+# Figures of a context: training bigrams; types seen 1, 2, ... TRUSTED times; lower-order probability of all types seen.
+SUMS = TRUSTED + 2
+
+
+def context_sums(context: np.ndarray, counts: np.ndarray, lower: np.ndarray, contexts: int) -> np.ndarray:
+    """``SUMS`` figures for each context from its distinct bigrams."""
+    figures = [counts, *(counts == r for r in range(1, TRUSTED + 1)), lower * (counts > 0)]
+    return np.stack([np.bincount(context, weights=f, minlength=contexts) for f in figures], axis=1)
 
-def backoff_table(pairs: np.ndarray, lower: np.ndarray) -> np.ndarray:
-    """P(class | context) from the counts ``pairs[context, class]``: discounted where seen; elsewhere ``lower``, times
-    the weight that makes each context sum to exactly one."""
-    discounts = good_turing(np.bincount(np.minimum(pairs[pairs > 0], TRUSTED + 2), minlength=TRUSTED + 3))
-    total = pairs.sum(axis=1, keepdims=True)
-    p = np.divide(discounted(pairs, discounts), total, out=np.zeros(pairs.shape), where=total > 0)
-    unseen = pairs == 0
-    free = (unseen * lower).sum(axis=1, keepdims=True)
-    left = 1 - p.sum(axis=1, keepdims=True)
-    # A context whose counts are all above the trusted ones: it gives 1 / (n + 1) to what it has not seen.
-    none = (left < 1e-9) & (free > 0)
-    p = np.where(none, p * total / (total + 1), p)
-    left = 1 - p.sum(axis=1, keepdims=True)
-    p = np.where(free > 0, p, np.divide(p, p.sum(axis=1, keepdims=True), out=p.copy(), where=p.sum(axis=1, keepdims=True) > 0))
-    weight = np.divide(left, free, out=np.zeros(left.shape), where=free > 0)
-    return np.where(unseen, weight * lower, p)
-
-
-def pair_counts(batches: DataFrame, words: np.ndarray) -> DataFrame:
-    """Training bigrams of classes, summed within each batch first: ``context, next, n``."""
-    shared = batches.sparkSession.sparkContext.broadcast(words)
+
+def fit_words(answers: DataFrame, tokens: int) -> Katz:
+    """The lower order from the word shards' answers; the bounded part of them comes to the driver."""
+    sizes = np.zeros(TRUSTED + 3)
+    for row in answers.where("kind = 'size'").groupBy("value").agg(F.sum("n").alias("n")).collect():
+        sizes[row.value] = row.n
+    frequent = answers.where("kind = 'frequent'").select("value", "n").collect()
+    hot = np.array([row.value for row in frequent] + [START], np.int64).astype(np.uint64)
+    order = np.argsort(hot)
+    discounts = good_turing(sizes)
+    # What the discounts take from the seen words is the probability of an unseen one.
+    taken = sum(sizes[r] * r * (1 - discounts[r]) for r in range(1, TRUSTED + 1)) / tokens
+    return Katz(
+        hot[order], np.array([row.n for row in frequent] + [0], np.int64)[order], tokens, int(sizes.sum()), discounts,
+        max(taken, 0.5 / (tokens + 1)), 1 - taken, np.ones(TRUSTED + 1), np.zeros((len(hot), SUMS)),
+    )
+
+
+def word_counts(batch: Batch, counted: pd.DataFrame) -> np.ndarray:
+    """The word shards' counts of a batch's words."""
+    counts = np.empty(len(batch.words), np.int64)
+    answers = counted[counted["kind"] == "batch"].sort_values("shard")["data"]
+    counts[np.argsort(batch.words)] = np.concatenate([unpack(value, np.int64)[0] for value in answers])
+    return counts
+
+
+@dataclass
+class Pairs:
+    """Distinct bigrams of a batch, those of a shard together: places of both words (a context after the last word is
+    the start), where each shard's begin, and for each token its bigram."""
+
+    context: np.ndarray
+    next: np.ndarray
+    shard: np.ndarray
+    edges: np.ndarray
+    at: np.ndarray
+    code: np.ndarray
+    is_hot: np.ndarray
+
+    @classmethod
+    def of(cls, batch: Batch, model: Katz, shards: int) -> Pairs:
+        width = len(batch.words) + 1
+        before = np.concatenate([[width - 1], batch.places[:-1]])
+        before[batch.starts] = width - 1
+        keys, at = np.unique(before * width + batch.places, return_inverse=True)
+        context, following = keys // width, keys % width
+        digests = np.append(batch.words, np.uint64(START))
+        code, is_hot = model.code_of(digests)
+        spread = digests[context] * np.uint64(0x9E3779B97F4A7C15)
+        spread = np.where(is_hot[context], spread + digests[following] * np.uint64(0xC2B2AE3D27D4EB4F), spread)
+        shard = ((spread >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+        order = np.argsort(shard, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        shard = shard[order].astype(np.int64)
+        edges = np.concatenate([[0], np.nonzero(np.diff(shard))[0] + 1, [len(shard)]])
+        return cls(context[order], following[order], shard, edges, place[at], code, is_hot)
+
+    def pieces(self) -> Iterator[tuple[int, slice]]:
+        for i, j in zip(self.edges[:-1].tolist(), self.edges[1:].tolist()):
+            yield int(self.shard[i]), slice(i, j)
+
+
+def ask_pairs(batches: DataFrame, given: DataFrame, model: Katz, shards: int) -> DataFrame:
+    """Each batch's distinct bigrams with their training counts, one row for each pair shard: ``batch, shard, data``.
+
+    Hot words go by their code; any other by its digest and its count, once a row.
+    """
+    shared = batches.sparkSession.sparkContext.broadcast(model)
+
+    def run(own: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
+        m, batch = shared.value, Batch.of(own["data"].iloc[0])
+        counts = word_counts(batch, counted)
+        digests, counts = np.append(batch.words, np.uint64(START)), np.append(counts, 0)
+        pairs = Pairs.of(batch, m, shards)
+        trained = np.bincount(pairs.at[batch.training()], minlength=len(pairs.context)).astype(np.uint32)
+        rows = []
+        for shard, piece in pairs.pieces():
+            used, at = np.unique(np.concatenate([pairs.context[piece], pairs.next[piece]]), return_inverse=True)
+            context, following = np.split(at.astype(np.uint32), 2)
+            is_hot = pairs.is_hot[used]
+            rows.append((own["batch"].iloc[0], shard, pack(
+                is_hot, pairs.code[used[is_hot]].astype(np.uint32), digests[used[~is_hot]], counts[used[~is_hot]],
+                np.diff(context, prepend=np.uint32(0)), following, trained[piece],
+            )))
+        return pd.DataFrame(rows, columns=["batch", "shard", "data"])
+
+    joined = batches.groupBy("batch").cogroup(given.groupBy("batch"))
+    return joined.applyInPandas(run, "batch long, shard int, data binary")
+
+
+PAIR_ANSWER = "kind string, batch long, shard int, data binary"
+
+
+def answer_pairs(asked: DataFrame, model: Katz) -> DataFrame:
+    """Pair shards: sums over the batches. Gives back (``pair``) the counts in the order asked and the figures of the
+    contexts that are not hot, and of the whole shard the types by count and its part of the hot contexts' figures
+    (``shard``)."""
+    shared = asked.sparkSession.sparkContext.broadcast(model)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        m, shard = shared.value, int(pdf["shard"].iloc[0])
+        digests, seen, contexts, nexts, trained, start = [], [], [], [], [], 0
+        for value in pdf["data"]:
+            is_hot, code, rare, count, context, following, n = unpack(
+                value, bool, np.uint32, np.uint64, np.int64, np.uint32, np.uint32, np.uint32
+            )
+            own, known = np.empty(len(is_hot), np.uint64), np.empty(len(is_hot), np.int64)
+            own[is_hot], own[~is_hot] = m.hot[code], rare
+            known[is_hot], known[~is_hot] = m.counts[code], count
+            digests.append(own)
+            seen.append(known)
+            contexts.append(np.cumsum(context, dtype=np.int64) + start)
+            nexts.append(following.astype(np.int64) + start)
+            trained.append(n)
+            start += len(own)
+        words, place = np.unique(np.concatenate(digests), return_inverse=True)
+        lower = np.empty(len(words))
+        lower[place] = m.unigram(np.concatenate(seen))
+        context = place[np.concatenate(contexts)]
+        keys, at = np.unique(context * len(words) + place[np.concatenate(nexts)], return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate(trained), minlength=len(keys)).astype(np.int64)
+        sums = context_sums(keys // len(words), counts, lower[keys % len(words)], len(words))
+        code, is_hot = m.code_of(words)
+        rows, start = [], 0
+        for batch, asked_here in zip(pdf["batch"], nexts, strict=True):
+            mine = slice(start, start + len(asked_here))
+            start = mine.stop
+            # Contexts come in the order of their places in the batch, so runs of one are together.
+            runs = context[mine]
+            runs = runs[np.concatenate([[True], runs[1:] != runs[:-1]])]
+            rows.append(("pair", batch, shard, pack(counts[at[mine]], sums[runs[~is_hot[runs]]].reshape(-1))))
+        found = is_hot & (sums[:, 0] > 0)
+        sizes = np.bincount(np.minimum(counts[counts > 0], TRUSTED + 2), minlength=TRUSTED + 3)
+        rows.append(("shard", 0, shard, pack(sizes, code[found].astype(np.int64), sums[found].reshape(-1))))
+        return pd.DataFrame(rows, columns=["kind", "batch", "shard", "data"])
+
+    return asked.groupBy("shard").applyInPandas(run, PAIR_ANSWER)
+
+
+def fit_pairs(pairs: DataFrame, model: Katz) -> Katz:
+    """The model with the discounts of bigrams and the figures of the hot contexts, summed over the shards by Spark."""
+    names = [f"f{i}" for i in range(SUMS)]
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        frequent = shared.value
-        width = len(frequent) + 2
         for pdf in parts:
-            for row in pdf.itertuples():
-                digests = np.frombuffer(row.words, np.uint64)
-                at = np.minimum(np.searchsorted(frequent, digests), len(frequent) - 1)
-                classes = np.where(frequent[at] == digests, at + 2, RARE)
-                places, ends, held, _ = _split(row)
-                nexts = classes[places]
-                before = np.concatenate([[START], nexts[:-1]])
-                before[ends[:-1]] = START
-                train = ~np.repeat(held, np.diff(ends, prepend=0))
-                keys, n = np.unique(before[train] * width + nexts[train], return_counts=True)
-                yield pd.DataFrame({"context": keys // width, "next": keys % width, "n": n})
-
-    counted = batches.mapInPandas(run, "context long, next long, n long")
-    return counted.groupBy("context", "next").agg(F.sum("n").alias("n"))
+            for value in pdf["data"]:
+                sizes, codes, figures = unpack(value, np.int64, np.int64, np.float64)
+                by_count = np.zeros((len(sizes), SUMS))
+                by_count[:, 0] = sizes
+                table = pd.DataFrame(np.concatenate([by_count, figures.reshape(-1, SUMS)]), columns=names)
+                # Below zero: the number of types with the count -1 - code.
+                table.insert(0, "code", np.concatenate([-1 - np.arange(len(sizes)), codes]))
+                yield table
+
+    schema = ", ".join(["code long", *(f"{name} double" for name in names)])
+    parts = pairs.where("kind = 'shard'").select("data").mapInPandas(run, schema)
+    table = parts.groupBy("code").agg(*(F.sum(name).alias(name) for name in names)).toPandas()
+    code, figures = table["code"].to_numpy(np.int64), table[names].to_numpy(np.float64)
+    sizes, sums = np.zeros(TRUSTED + 3), np.zeros((len(model.hot), SUMS))
+    sizes[-1 - code[code < 0]] = figures[code < 0, 0]
+    sums[code[code >= 0]] = figures[code >= 0]
+    return replace(model, pair_discounts=good_turing(sizes), sums=sums)
+
+
+def pair_scores(batch: Batch, counts: np.ndarray, model: Katz, shards: int, replies: pd.DataFrame) -> np.ndarray:
+    """log10 P(word | word before) of each token."""
+    pairs = Pairs.of(batch, model, shards)
+    total, sums = np.empty(len(pairs.context), np.int64), np.zeros((len(counts) + 1, SUMS))
+    sums[pairs.is_hot] = model.sums[pairs.code[pairs.is_hot]]
+    for (_, piece), value in zip(pairs.pieces(), replies.sort_values("shard")["data"], strict=True):
+        total[piece], figures = unpack(value, np.int64, np.float64)
+        contexts = np.unique(pairs.context[piece])
+        sums[contexts[~pairs.is_hot[contexts]]] = figures.reshape(-1, SUMS)
+    factor, weight = model.backoff(sums)
+    of, lower = pairs.context, model.unigram(counts)[pairs.next]
+    share = factor[of] * discounted(total, model.pair_discounts) / np.maximum(sums[of, 0], 1)
+    return np.log10(np.where(total > 0, share, weight[of] * lower))[pairs.at]
 
 
 SCORES = (
@@ -235,61 +446,32 @@ SCORES = (
 )
 
 
-def score_batches(batches: DataFrame, answers: DataFrame, model: Katz) -> DataFrame:
-    """Each batch meets the counts of its words, one array for each shard, and scores its documents."""
+def score_batches(batches: DataFrame, answers: DataFrame, model: Katz, shards: int) -> DataFrame:
+    """Each batch meets the counts of its words and bigrams, one array for each shard, and scores its documents.
+
+    No shards: nothing was learned, and the scores are zero.
+    """
     shared = batches.sparkSession.sparkContext.broadcast(model)
 
-    def run(held: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
-        m, row = shared.value, held.iloc[0]
-        counts = np.concatenate([np.frombuffer(d, np.int64) for d in counted.sort_values("shard")["data"]])
-        digests = np.frombuffer(row.words, np.uint64)
-        classes = m.class_of(digests)
-        places, ends, held_out, _ = _split(row)
-        starts = np.concatenate([[0], ends[:-1]])
+    def run(own: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
+        m, batch = shared.value, Batch.of(own["data"].iloc[0])
+        counts = word_counts(batch, counted)
         base = np.log10((counts + 0.5) / (m.tokens + 0.5 * (m.types + 1)))
-        # A rare word: the class by the bigram, the word within the class by the unigrams.
-        inside = np.where(classes == RARE, np.log10(m.unigram(counts)) - m.log_rare, 0.0)
-        nexts = classes[places]
-        before = np.concatenate([[START], nexts[:-1]])
-        before[starts] = START
-        logp = m.log_next[before, nexts] + inside[places]
-        ids = pd.array(np.frombuffer(row.doc_ids, np.int64), "Int64")
-        ids[~np.frombuffer(row.has_ids, bool)] = pd.NA
+        logp = np.zeros(len(batch.places))
+        if shards:
+            logp = pair_scores(batch, counts, m, shards, counted[counted["kind"] == "pair"])
+        ids = pd.array(batch.ids, "Int64")
+        ids[~batch.has] = pd.NA
         return pd.DataFrame({
-            "doc_id": ids, "held_out": held_out, "n_tokens": ends - starts,
-            "n_known": np.add.reduceat((counts[places] > 0).astype(np.int64), starts), "train_tokens": m.tokens,
-            "base_score": np.add.reduceat(base[places], starts), "score": np.add.reduceat(logp, starts),
+            "doc_id": ids, "held_out": batch.held, "n_tokens": batch.ends - batch.starts,
+            "n_known": np.add.reduceat((counts[batch.places] > 0).astype(np.int64), batch.starts),
+            "train_tokens": m.tokens, "base_score": np.add.reduceat(base[batch.places], batch.starts),
+            "score": np.add.reduceat(logp, batch.starts),
         })
 
     return batches.groupBy("batch").cogroup(answers.groupBy("batch")).applyInPandas(run, SCORES)
 
 
-def fit(batches: DataFrame, asked: DataFrame, answers: DataFrame, tokens: int) -> Katz:
-    """The model from the shards' answers: bounded tables only come to the driver."""
-    sizes = np.zeros(TRUSTED + 3)
-    for row in answers.where("kind = 'size'").groupBy("value").agg(F.sum("n").alias("n")).collect():
-        sizes[row.value] = row.n
-    frequent = answers.where("kind = 'frequent'").select("value", "n").collect()
-    digests = np.array([row.value for row in frequent], np.int64).astype(np.uint64)
-    order = np.argsort(digests)
-    words, counts = digests[order], np.array([row.n for row in frequent], np.int64)[order]
-    discounts = good_turing(sizes)
-    # What the discounts take from the seen words is the probability of an unseen one.
-    taken = sum(sizes[r] * r * (1 - discounts[r]) for r in range(1, TRUSTED + 1)) / tokens
-    unseen = max(taken, 0.5 / (tokens + 1))
-    model = Katz(words, tokens, int(sizes.sum()), discounts, unseen, np.zeros((0, 0)), 0.0, 1 - taken)
-    single = model.unigram(counts)
-    rare = 1 - single.sum()
-    lower = np.concatenate([[rare, 0.0], single])
-    pairs = np.zeros((len(lower), len(lower)), np.int64)
-    found = pair_counts(batches, words).toPandas()
-    pairs[found["context"].to_numpy(np.int64), found["next"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
-    with np.errstate(divide="ignore"):
-        model.log_next = np.log10(backoff_table(pairs, lower))
-    model.log_rare = float(np.log10(rare))
-    return model
-
-
 def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row.
 
@@ -299,24 +481,20 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
     """
     spark = prepare(docs.sparkSession)
     batches = write_out(encode_batches(docs, held_out), "batches")
-    distinct = batches.agg(F.sum(F.length("words") / 8)).first()[0]
-    if distinct is None:
+    names = ("tokens", "trained", "distinct")
+    size = batches.agg(*(F.sum(name).alias(name) for name in names)).first()
+    if not size["tokens"]:
         return spark.createDataFrame([], SCORES)
-    shards = max(1, -(-int(distinct) // WORDS_PER_SHARD))
-    asked = write_out(ask_counts(batches, shards), "asked")
-
-    def tokens_of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            yield pd.DataFrame({"n": [int(np.frombuffer(c, np.uint32).sum(dtype=np.int64)) for c in pdf["counts"]]})
-
-    tokens = asked.select("counts").mapInPandas(tokens_of, "n long").agg(F.sum("n")).first()[0]
-    answers = write_out(answer_counts(asked, tokens), "answers")
-    given = answers.where("kind = 'batch'").select("batch", "shard", "data")
-    if not tokens:
-        model = Katz(np.array([1], np.uint64), 0, 0, np.ones(TRUSTED + 1), 1.0, np.zeros((3, 3)), 0.0)
-        plain = score_batches(batches, given, model)
-        return plain.withColumn("score", F.col("base_score"))
-    return score_batches(batches, given, fit(batches, asked, answers, tokens))
+    asked = ask_counts(batches, -(-size["distinct"] // WORDS_PER_SHARD))
+    answers = write_out(answer_counts(asked, size["trained"]), "words")
+    given = answers.where("kind = 'batch'").select("kind", "batch", "shard", "data")
+    if not size["trained"]:
+        return score_batches(batches, given, Katz.empty(), 0).withColumn("score", F.col("base_score"))
+    model = fit_words(answers, size["trained"])
+    shards = -(-size["tokens"] // TOKENS_PER_SHARD)
+    pairs = write_out(answer_pairs(ask_pairs(batches, given, model, shards), model), "pairs")
+    replies = pairs.where("kind = 'pair'").select("kind", "batch", "shard", "data")
+    return score_batches(batches, given.unionByName(replies), fit_pairs(pairs, model), shards)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:

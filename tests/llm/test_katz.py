@@ -1,4 +1,4 @@
-"""Counts and base scores by brute force; the Katz tables sum to one."""
+"""Counts, base scores and model scores by brute force; each context sums to one."""
 
 import math
 import random
@@ -32,38 +32,75 @@ def tokens(text):
     return re.findall("[^\x20\x09-\x0D]+", text) + [None]
 
 
-def test_against_brute_force(spark, rows, monkeypatch):
+def sizes_of(counts):
+    return np.bincount(np.minimum(list(counts.values()), katz.TRUSTED + 2), minlength=katz.TRUSTED + 3).astype(float)
+
+
+def brute_force(rows):
+    """Counts of the training words, and the lower order, what is left for unseen words, and each context's table."""
+    words, pairs = Counter(), Counter()
+    for r in rows:
+        if not held(r[0]):
+            ts = tokens(r[1])
+            words.update(ts)
+            pairs.update(zip(["<start>", *ts], ts))
+    n, d = sum(words.values()), katz.good_turing(sizes_of(words))
+    kept = {w: c * (d[c] if c <= katz.TRUSTED else 1) / n for w, c in words.items()}
+    unseen = max(1 - math.fsum(kept.values()), 0.5 / (n + 1))
+    single = {w: p * (1 - unseen) / math.fsum(kept.values()) for w, p in kept.items()}
+    d = katz.good_turing(sizes_of(pairs))
+    after, contexts = {}, Counter()
+    for (a, b), c in pairs.items():
+        after.setdefault(a, {})[b] = c
+        contexts[a] += c
+
+    def table(a):
+        """Probabilities of the words seen after ``a``, and the weight of all others."""
+        seen, total = after.get(a, {}), contexts[a]
+        if not seen:
+            return {}, 1.0
+        p = {b: c * (d[c] if c <= katz.TRUSTED else 1) / total for b, c in seen.items()}
+        if all(c > katz.TRUSTED for c in seen.values()):
+            p = {b: v * total / (total + 1) for b, v in p.items()}
+        return p, (1 - math.fsum(p.values())) / (1 - math.fsum(single[b] for b in seen))
+
+    return words, single, unseen, table
+
+
+@pytest.mark.parametrize("share", [1.0, 1 / 100])
+def test_against_brute_force(spark, rows, monkeypatch, share):
     monkeypatch.setattr(katz, "BATCH_CHARS", 3000)
     monkeypatch.setattr(katz, "WORDS_PER_SHARD", 100)
+    monkeypatch.setattr(katz, "TOKENS_PER_SHARD", 20_000)
+    monkeypatch.setattr(katz, "SHARE", share)
     out = katz.score_documents(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
-    counts = Counter(t for r in rows if not held(r[0]) for t in tokens(r[1]))
+    counts, single, unseen, table = brute_force(rows)
+    tables = {a: table(a) for a in [*counts, "<start>", "never"]}
     n, v = sum(counts.values()), len(counts)
-    want = Counter()
+    for p, weight in tables.values():
+        rest = unseen + math.fsum(q for w, q in single.items() if w not in p)
+        assert abs(math.fsum(p.values()) + weight * rest - 1) < 1e-9
+    want, scores = Counter(), {}
     for r in rows:
         ts = tokens(r[1])
         base = math.fsum(math.log10((counts[t] + 0.5) / (n + 0.5 * (v + 1))) for t in ts)
         want[r[0], held(r[0]), len(ts), sum(counts[t] > 0 for t in ts), n, round(base, 4)] += 1
+        steps = [(*tables.get(a, ({}, 1.0)), t) for a, t in zip(["<start>", *ts], ts)]
+        scores[r[0]] = math.fsum(math.log10(p.get(t, w * single.get(t, unseen))) for p, w, t in steps)
     assert Counter((*tuple(r)[:5], round(r.base_score, 4)) for r in out) == want
-    assert all(math.isfinite(r.score) and r.score < 0 for r in out)
+    assert all(r.score == pytest.approx(scores[r.doc_id], rel=1e-9) for r in out)
     assert sum(r.score for r in out if r.held_out) > sum(r.base_score for r in out if r.held_out)
 
 
-def test_tables_sum_to_one():
-    rng = np.random.default_rng(7)
-    pairs = rng.poisson(0.7, (40, 40)) * rng.integers(0, 9, (40, 1))
-    pairs[5], pairs[6], pairs[:, 1] = 0, 50, 0
-    lower = rng.random(40)
-    lower[1] = 0
-    p = katz.backoff_table(pairs, lower / lower.sum())
-    assert np.allclose(p.sum(axis=1), 1, atol=1e-12) and (np.delete(p, 1, axis=1) > 0).all()
+def test_discounts():
     for sizes in (np.zeros(8), np.array([0, 5, 0, 0, 0, 0, 0, 1.0]), np.array([0, 900, 300, 150, 90, 60, 40, 80.0])):
         assert ((katz.good_turing(sizes)[1:] > 0) & (katz.good_turing(sizes)[1:] < 1)).all()
-    counts = np.array([1, 1, 1, 2, 2, 3, 9, 50])
-    sizes = np.bincount(np.minimum(counts, katz.TRUSTED + 2), minlength=katz.TRUSTED + 3).astype(float)
-    d = katz.good_turing(sizes)
-    taken = 1 - katz.discounted(counts, d).sum() / counts.sum()
-    model = katz.Katz(np.array([1], np.uint64), int(counts.sum()), 8, d, taken, np.zeros((0, 0)), 0.0, 1 - taken)
-    assert abs(model.unigram(counts).sum() + model.unigram(np.array([0]))[0] - 1) < 1e-12
+
+
+def test_pack():
+    arrays = np.arange(5, dtype=np.uint64), np.zeros(0, np.int64), np.array([True, False])
+    back = katz.unpack(katz.pack(*arrays), np.uint64, np.int64, bool)
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(arrays, back, strict=True))
 
 
 def test_edges(spark):
