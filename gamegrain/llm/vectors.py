@@ -19,7 +19,9 @@ from gamegrain.llm.common import ROW, numbered, prepare, ranked, write_out
 
 # The lists' centres are fitted on at most SAMPLE vectors; every vector is indexed.
 SAMPLE, MOST_LISTS, PER_LIST = 20_000, 1_024, 200
-PROBES = 32
+# At least PROBES lists are probed, and so many that they hold RECALL of the true neighbours of at most TRIALS queries,
+# found by brute force.
+PROBES, RECALL, TRIALS = 32, 0.98, 128
 BLOCK, QUERY_BLOCK = 256, 128  # vectors and queries in one row of the index
 COLUMNS = 16  # dimensions between two tests
 CONFIDENCE = 2.1  # of the test, in deviations at one dimension
@@ -143,8 +145,45 @@ def build_index(classes: DataFrame, centres: np.ndarray, longest: float) -> Data
     return write_out(blocks.groupBy("list", "block").applyInPandas(pack, INDEX), "lists")
 
 
-def probe(queries: DataFrame, centres: np.ndarray, sizes: np.ndarray, k: int) -> DataFrame:
-    """The nearest lists of each query, at least PROBES of them and enough to hold ten times k vectors."""
+def probes_needed(queries: DataFrame, index: DataFrame, centres: np.ndarray, k: int) -> int:
+    """Nearest lists that hold RECALL of the k + 1 best vectors in the whole index, over at most TRIALS queries.
+
+    A task keeps the best of its blocks only, so each sends k + 1 rows a query.
+    """
+    tried = queries.orderBy(F.xxhash64("cid")).select("vector").limit(TRIALS).toPandas()["vector"]
+    if not len(tried):
+        return 1
+    q = stacked(tried)
+    order = ((centres**2).sum(axis=1) - 2 * lifted_queries(q) @ centres.T).argsort(axis=1)
+    places = np.empty_like(order)
+    np.put_along_axis(places, order, np.arange(len(centres))[None, :], axis=1)
+    shared = queries.sparkSession.sparkContext.broadcast((q, places))
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        q, places = shared.value
+        best, at = np.zeros((len(q), 0)), np.zeros((len(q), 0), np.int64)
+        for pdf in parts:
+            for row in pdf.itertuples():
+                x = np.frombuffer(row.vectors, np.float32).reshape(-1, q.shape[1]).astype(np.float64)
+                best = np.concatenate([best, q @ x.T], axis=1)
+                at = np.concatenate([at, np.repeat(places[:, row.list, None], len(x), axis=1)], axis=1)
+                if best.shape[1] > k + 1:
+                    top = np.argpartition(-best, k, axis=1)[:, : k + 1]
+                    best, at = np.take_along_axis(best, top, axis=1), np.take_along_axis(at, top, axis=1)
+        query = np.repeat(np.arange(len(q)), best.shape[1])
+        yield pd.DataFrame({"query": query, "score": best.ravel(), "place": at.ravel()})
+
+    found = index.select("list", "vectors").mapInPandas(run, "query int, score double, place long")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "place"))
+    best = found.withColumn("_n", rank).where(F.col("_n") <= k + 1)
+    held = np.zeros(len(centres))
+    for row in best.groupBy("place").count().collect():
+        held[row.place] = row["count"]
+    return int(np.searchsorted(np.cumsum(held), RECALL * held.sum())) + 1
+
+
+def probe(queries: DataFrame, centres: np.ndarray, sizes: np.ndarray, k: int, least: int) -> DataFrame:
+    """The nearest lists of each query, at least ``least`` of them and enough to hold ten times k vectors."""
     shared = queries.sparkSession.sparkContext.broadcast((centres, sizes))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,7 +194,7 @@ def probe(queries: DataFrame, centres: np.ndarray, sizes: np.ndarray, k: int) ->
                 order = ((c**2).sum(axis=1) - 2 * q @ c.T).argsort(axis=1)
                 out = []
                 for cid, vector, near in zip(pdf["cid"], pdf["vector"], order, strict=True):
-                    most = max(PROBES, int(np.searchsorted(np.cumsum(n[near]), 10 * k)) + 1)
+                    most = max(least, int(np.searchsorted(np.cumsum(n[near]), 10 * k)) + 1)
                     out += [(cid, vector, int(at), place) for place, at in enumerate(near[:most])]
                 yield pd.DataFrame(out, columns=["qcid", "vector", "list", "place"])
 
@@ -206,7 +245,8 @@ def nearest(df: DataFrame, k: int, is_query, vector: str = "embedding", key: str
     the index and one search. A table without usable vectors gives no rows.
 
     The nearest list of each query is scanned whole; its k-th distance is the reach with which the other lists are
-    scanned adaptively.
+    scanned adaptively. How many lists are probed is measured
+    on the table itself, see ``probes_needed``.
     """
     spark = prepare(df.sparkSession)
     rows = write_out(usable(df, vector, key), "usable")
@@ -226,13 +266,15 @@ def nearest(df: DataFrame, k: int, is_query, vector: str = "embedding", key: str
     asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vector").distinct()
     asked = write_out(asked.join(classes.select("cid", "vector"), "vector").select("query_id", "cid"), "asked")
     queries = classes.join(asked.select("cid").distinct(), "cid", "left_semi")
-    probes = write_out(probe(queries, centres, sizes, k), "all-probes")
+    least = max(PROBES, probes_needed(queries, index, centres, k))
+    probes = write_out(probe(queries, centres, sizes, k, least), "all-probes")
     own = write_out(scan(probes.where("place = 0").withColumn("reach", F.lit(None).cast("double")), index, longest, k), "own-list")
     place = F.row_number().over(Window.partitionBy("qcid").orderBy(F.desc("score"), "first"))
     kth = own.withColumn("_n", place).where(F.col("_n") == k + 1).select("qcid", F.col("score").alias("kth"))
     length2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     reached = probes.where("place > 0").join(kth, "qcid", "left").withColumn(
-        "reach", F.greatest(longest**2 + length2 - 2 * F.col("kth"), F.lit(0.0))
+        # A nearest list of k vectors or fewer gives no reach; greatest() alone would make it 0.
+        "reach", F.when(F.col("kth").isNotNull(), F.greatest(longest**2 + length2 - 2 * F.col("kth"), F.lit(0.0)))
     )
     found = own.union(scan(reached.drop("kth"), index, longest, k))
     best = found.withColumn("_n", place).where(F.col("_n") <= k + 1).drop("_n", "first")

@@ -62,3 +62,20 @@ def test_abandons_only_far_rows():
     reach = np.sort(distance)[20]
     kept = vectors.abandon(x.T, x[0], reach)
     assert set(kept) <= set(np.nonzero(distance <= reach * 1.01)[0]) and len(kept) >= 19
+
+
+def test_recall_does_not_fall_with_the_number_of_lists(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "PER_LIST", 20)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((10, 48))[rng.integers(0, 10, 6000)] + 1.5 * rng.standard_normal((6000, 48))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    many = [(i, v.astype(np.float32).tolist(), 1, "s") for i, v in enumerate(x)]
+    data = {i: v for i, v, *_ in many}
+    x = np.array([data[i] for i in range(6000)], np.float32).astype(np.float64)
+    out = vectors.nearest(spark.createDataFrame(many, SCHEMA), 20, F.col("vec_id") % 40 == 0).collect()
+    hits = 0
+    for query in range(0, 6000, 40):
+        scores = x @ x[query]
+        scores[query] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & {r.vec_id for r in out if r.query_id == query})
+    assert hits >= 0.9 * 20 * 150
