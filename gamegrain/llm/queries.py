@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamegrain.llm import (
-    bytebpe, exact, html, katz, near, packing, quality, runs, sharding, tokencount, vectors,
+    bytebpe, exact, html, katz, near, packing, quality, runs, sharding, simhash, tokencount, vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,10 @@ def op10_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_classes(table(spark, folder, "documents"))
 
 
+def op11_segment_popcounts(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, folder, "documents"))
+
+
 def op12_square_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.periodic_runs(table(spark, folder, "documents"))
 
@@ -69,7 +73,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_adaptive_scan, op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op6_katz_backoff,
-        op7_lpt_sharding, op8_byte_bpe, op9_kneser_ney_quality, op10_order_minhash, op12_square_runs,
+        op7_lpt_sharding, op8_byte_bpe, op9_kneser_ney_quality, op10_order_minhash, op11_segment_popcounts, op12_square_runs,
     )
 }
 
