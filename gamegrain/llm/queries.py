@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gamegrain.llm import (
-    bytebpe, exact, html, katz, near, packing, quality, runs, sharding, simhash, tokencount, vectors,
+    alignment, bytebpe, exact, html, katz, near, packing, quality, runs, sharding, simhash, tokencount, vectors,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,11 +69,17 @@ def op12_square_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.periodic_runs(table(spark, folder, "documents"))
 
 
+def op13_fragment_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(table(spark, folder, "documents"), *paths)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_adaptive_scan, op2_trie_token_counts, op3_tree_scoring, op4_exact_dedup, op5_best_two_fit, op6_katz_backoff,
         op7_lpt_sharding, op8_byte_bpe, op9_kneser_ney_quality, op10_order_minhash, op11_segment_popcounts, op12_square_runs,
+        op13_fragment_alignment,
     )
 }
 
