@@ -31,6 +31,20 @@ def eav_pivot(
     return df.groupBy(*keys).agg(*[pick(name).alias(name) for name in categories])
 
 
+def pivot_map(
+    df: DataFrame, keys: Sequence[str], category: str, value: str, first_by: Sequence[str], name: str = "attributes"
+) -> DataFrame:
+    """One map per key from category to value: the categories are those that the data hold, the schema is fixed.
+
+    Duplicates: the first value in ``first_by`` order. A NULL category is none. Values are chosen before the map is
+    built, so a map has one entry for each category of its key, sorted by category; no pass looks for categories first.
+    """
+    first = F.min_by(F.struct(F.col(value).alias("value")), F.struct(*first_by)).alias("first")
+    cells = df.where(F.col(category).isNotNull()).groupBy(*keys, F.col(category).alias("category")).agg(first)
+    entries = F.array_sort(F.collect_list(F.struct("category", F.col("first.value").alias("value"))))
+    return cells.groupBy(*keys).agg(F.map_from_entries(entries).alias(name))
+
+
 def pivot_join_back(base: DataFrame, attributes: DataFrame, keys: Sequence[str], **pivot) -> DataFrame:
     """Base rows with the pivoted attributes of their key; rows without any attribute drop."""
     return base.join(eav_pivot(attributes, keys, **pivot), list(keys), "inner")

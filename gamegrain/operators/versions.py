@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,7 +15,12 @@ def latest_by(df: DataFrame, keys: Sequence[str], version: str, ties: Sequence[s
     """
     rest = [name for name in df.columns if name not in keys]
     order = [version, *ties, *[name for name in rest if name != version and name not in ties]]
-    newest = F.max(F.struct(*order))
-    return df.groupBy(*keys).agg(newest.alias("newest")).select(
-        *[F.col(name) if name in keys else F.col("newest").getField(name).alias(name) for name in df.columns]
+    newest = F.max(F.struct(*map(quoted, order)))
+    return df.groupBy(*map(quoted, keys)).agg(newest.alias("newest")).select(
+        *[quoted(name) if name in keys else F.col("newest").getField(name).alias(name) for name in df.columns]
     )
+
+
+def quoted(name: str) -> Column:
+    """The column of that name, dots and all."""
+    return F.col(f"`{name.replace('`', '``')}`")

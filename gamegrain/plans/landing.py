@@ -19,14 +19,19 @@ from gamegrain.operators.keys import any_of, listed_ids, only
 from gamegrain.session import materialise
 from gamegrain.sinks.documents import overwrite_partitions, put_documents
 from gamegrain.sinks.tables import read_or_empty
-from gamegrain.sources.feeds import landed_schema
+from gamegrain.sources.feeds import document_schema, landed_schema
+from gamegrain.sources.listing import listed_files
 from gamegrain.sources.lookups import FINAL_STATE, VALID_GAME_TYPES
 from gamegrain.sources.readers import read_json_documents
 from gamegrain.streaming.increments import finished_games, new_keys, open_periods, played_days
 
 # Fixed value: the ISO date that starts the name of a weekly schedule file.
 FILE_DATE = r"/(\d{4}-\d{2}-\d{2})[^/]*\.json$"
+# Fixed value: the game id that starts the name of a file with one document.
+FILE_ID = r"/(\d+)[^/]*\.json$"
 GAME_FEEDS = ("boxscore", "play_by_play", "game_story")
+# Game ids per block, about one load: a night of games writes one block again, not a season.
+GAME_BLOCK = 100
 
 
 def _path_value(pattern: str) -> Column:
@@ -48,7 +53,11 @@ class Landing:
     final_state: str = FINAL_STATE
 
     def _raw(self, feed: str) -> DataFrame:
-        documents = read_json_documents(self.spark, f"{self.raw}/{feed}", feed, self.multiline)
+        return self._stamped(read_json_documents(self.spark, f"{self.raw}/{feed}", feed, self.multiline), feed)
+
+    def _stamped(self, documents: DataFrame | None, feed: str) -> DataFrame:
+        if documents is None:
+            documents = self.spark.createDataFrame([], document_schema(feed).add("file_path", "string"))
         return documents.withColumn("updated_at", F.lit(self.loaded_at.isoformat()))
 
     def landed(self, feed: str, *extra: str) -> DataFrame:
@@ -96,11 +105,25 @@ class Landing:
 
     def game_feed(self, feed: str, games: DataFrame) -> DataFrame:
         """Lands one feed of the given games and returns the documents."""
-        wanted = only(self._raw(feed).drop("file_path"), games.select(F.col("game_id").alias("id")), "id")
-        documents = materialise(wanted, feed)
-        put_documents(documents, f"{self.out}/{feed}", "id", "updated_at")
+        documents = self._raw_of(feed, games, "game_id").drop("file_path")
+        documents = materialise(only(documents, games.select(F.col("game_id").alias("id")), "id"), feed)
+        put_documents(documents, f"{self.out}/{feed}", "id", "updated_at", GAME_BLOCK)
         return documents
 
+    def _raw_of(self, feed: str, keys: DataFrame, key: str) -> DataFrame:
+        """Raw documents that may have a wanted key: files with one document each are chosen by their names, listed by
+        the executors, and no other file is opened. A file without an id in its name is read.
+
+        The paths of the wanted files pass through the driver, as those of any scan do.
+        """
+        if not self.multiline:  # many documents in a file, whatever its name
+            return self._raw(feed)
+        files = listed_files(self.spark, f"{self.raw}/{feed}")
+        files = files.withColumn(key, path_key(F.col("path"), FILE_ID).cast("bigint"))
+        named = only(files, keys, key).select("path").union(files.where(F.col(key).isNull()).select("path"))
+        paths = [row.path for row in named.collect()]
+        return self._stamped(read_json_documents(self.spark, paths, feed) if paths else None, feed)
+
     def play_by_play(self, games: DataFrame) -> DataFrame:
         """Lands the play-by-play documents; gives the ids of the players listed for the games."""
         documents = self.game_feed("play_by_play", games)
@@ -109,8 +132,8 @@ class Landing:
     def players(self, *ids: DataFrame) -> DataFrame:
         """Lands the documents of all players in the id sets; gives the work list."""
         work = materialise(any_of(*ids), "players")
-        wanted = only(self._raw("players").drop("file_path"), work.select(F.col("player_id").alias("playerId")),
-                      "playerId")
+        documents = self._raw_of("players", work, "player_id").drop("file_path")
+        wanted = only(documents, work.select(F.col("player_id").alias("playerId")), "playerId")
         put_documents(wanted, f"{self.out}/players", "playerId", "updated_at")
         return work
 

@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from gamegrain.operators.gates import expect_distinct
 from gamegrain.operators.keys import without
 from gamegrain.plans import boxscores, players, schedule, stories, teams
+from gamegrain.plans.landing import GAME_BLOCK
+from gamegrain.session import materialise
 from gamegrain.sinks import contracts
 from gamegrain.sinks.tables import Table, read_or_empty
 from gamegrain.sources import lookups
 from gamegrain.sources.feeds import landed_schema
 from gamegrain.sources.inventory import file_inventory, latest_snapshot, newest_file
+from gamegrain.sources.keyed import keyed_scan
+from gamegrain.streaming.arrivals import follow_into
 from gamegrain.streaming.increments import reload_due
 
 
@@ -70,15 +74,31 @@ class Loads:
         self.table(contracts.PLAYERS).append(players.players(self.feed("players")))
 
     def _append_games(self, spec: contracts.TableSpec, feed: str, build) -> bool:
-        """Appends the games this one table lacks. Loaded keys leave before the documents are taken apart."""
-        table = self.table(spec)
-        documents = self.feed(feed)
-        fresh = without(documents, table.keys("game_id").withColumnRenamed("game_id", "id"), "id")
+        """Appends the games this one table lacks. The work list takes one column of the feed; documents are then read
+        from the blocks of these games only."""
+        table = self.table(spec, "game_id")
+        stored = self.feed(feed, "block long")
+        fresh = without(stored.select("id"), table.keys("game_id").withColumnRenamed("game_id", "id"), "id")
+        fresh = materialise(fresh, "fresh-games")
         if fresh.isEmpty():
             return False
-        table.append(build(fresh))
+        table.append(build(keyed_scan(stored, fresh, "id", GAME_BLOCK).drop("block")))
         return True
 
+    def follow_games(self, spec: contracts.TableSpec, feed: str, build, checkpoints: str) -> int:
+        """Appends the games of files that came since the last call, and tells how many batches of files there were.
+
+        Files that an earlier call has seen are not opened. A block that was written again brings its games once more;
+        those that the table has stay out. A batch that a call stored before it died is not stored again.
+        """
+        table = self.table(spec, "game_id")
+
+        def fresh(documents: DataFrame) -> DataFrame:
+            return build(without(documents, table.keys("game_id").withColumnRenamed("game_id", "id"), "id"))
+
+        schema = landed_schema(feed).add("block", "long")
+        return follow_into(table, f"{self.landed}/{feed}", schema, f"{checkpoints}/{spec.name}", fresh, feed)
+
     def game_stories(self) -> tuple[bool, bool]:
         """Game results and team statistics, each table with its own work list."""
         return (

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gamegrain.operators.gates import expect_rows
 from gamegrain.operators.keys import key_set, without
+from gamegrain.operators.observed import Gate, check, observed
 from gamegrain.operators.versions import latest_by
 from gamegrain.sinks.contracts import TableSpec, conform
 
@@ -59,7 +59,7 @@ class Table:
         row = self.spark.createDataFrame([(snapshot, generation, datetime.now(timezone.utc))], _PUBLISHED)
         row.coalesce(1).write.mode("append").parquet(f"{self.root}/published")
 
-    def _write(self, df: DataFrame, snapshot: str) -> None:
+    def _write(self, df: DataFrame, snapshot: str, mode: str = "append") -> None:
         """Rows in contract types, sorted by key within each file.
 
         The rebalance hint brings equal keys together but lets adaptive execution split what is too big for one
@@ -68,7 +68,7 @@ class Table:
         rows = conform(df, self.spec)
         if self.spread_by:
             rows = rows.hint("rebalance", *self.spread_by)
-        rows.sortWithinPartitions(*self.spec.keys).write.mode("append").parquet(self._path(snapshot))
+        rows.sortWithinPartitions(*self.spec.keys).write.mode(mode).parquet(self._path(snapshot))
 
     @staticmethod
     def _new_snapshot() -> str:
@@ -96,17 +96,33 @@ class Table:
         self._write(df, snapshot)
         self._publish(snapshot, generation or snapshot)
 
+    def append_once(self, df: DataFrame, delivery: str) -> bool:
+        """Add the rows of a named delivery; one that was published before is not stored again.
+
+        What a run that died left of the delivery was never published, and is written anew.
+        """
+        published = read_or_empty(self.spark, f"{self.root}/published", _PUBLISHED)
+        if not published.where(F.col("snapshot") == delivery).isEmpty():
+            return False
+        generation, _ = self._generation()
+        self._write(df, delivery, mode="overwrite")
+        self._publish(delivery, generation or self._new_snapshot())
+        return True
+
     def append_new(self, df: DataFrame, guard: str | None = None) -> None:
         """Add only rows whose guard key (by default the first key) is not loaded yet."""
         guard = guard or self.spec.keys[0]
         self.append(without(df, self.keys(guard), guard))
 
-    def replace(self, df: DataFrame) -> None:
-        """Full refresh: stage a new snapshot, stop if it is empty, publish it."""
+    def replace(self, df: DataFrame, *gates: Gate) -> None:
+        """Full refresh: stage a new snapshot, stop if it is empty or a gate fails, publish it.
+
+        Rows are counted while they are written: nothing is read twice.
+        """
         snapshot = self._new_snapshot()
-        self._write(df, snapshot)
-        staged = read_or_empty(self.spark, self._path(snapshot), self.spec.schema)
-        expect_rows(staged, f"the staged snapshot of {self.spec.name}")
+        measured, watched = observed(df, *gates)
+        self._write(watched, snapshot)
+        check(measured, f"the staged snapshot of {self.spec.name}", *gates)
         self._publish(snapshot, snapshot)
 
     def compact(self) -> None:

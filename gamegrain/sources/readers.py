@@ -36,7 +36,7 @@ def only_keyed(documents: DataFrame, keys: DataFrame, *on: str) -> DataFrame:
     return documents.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
-def read_json_documents(spark: SparkSession, path: str, feed: str, multiline: bool = True) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str | list[str], feed: str, multiline: bool = True) -> DataFrame:
     """Raw JSON documents of a feed → one flat row each, dotted column names, arrays kept, plus ``file_path``.
 
     Fields declared as text keep the JSON text of whatever stands there (numbers, nested lists), which homogenises
