@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from collections import ChainMap
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
+from struct import pack
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -19,6 +22,7 @@ from tokenizers import Tokenizer
 from gamegrain.llm.common import ROW, numbered, prepare, write_out
 
 RANGE = 1 << 16  # bytes of a range
+MEMO, MEMO_BYTES = 200_000, 64  # stretches that a worker remembers, and the longest of them
 FAN = 8  # neighbouring fragments that one task puts together
 # A single space between two signs that are no white space: neither tokenizer has a token across its left side.
 BREAK = re.compile(rb"(?<=[!-~]) (?=[!-~])")
@@ -54,9 +58,9 @@ class Vocabularies:
             raise ValueError("a piece goes across a space, so texts cannot be cut there")
         self.lengths_a, self.lengths_b = (np.array([*map(len, x)], np.int64) for x in (self.bytes_a, self.bytes_b))
         self.keys = self._pairs()
-        self.names = [
-            [b"%d%b" % (i, sign) for i in range(len(tokens))] for tokens in (self.bytes_a, self.bytes_b) for sign in (b",", b"|", b";")
-        ]
+        self.sizes = self.lengths_a.tolist(), self.lengths_b.tolist()
+        self.number = dict(zip(self.keys.tolist(), range(len(self.keys)), strict=True))
+        self.written = [b"%d" % i for i in range(max(map(len, self.sizes)))]
 
     def _pairs(self) -> np.ndarray:
         by_bytes = []
@@ -92,18 +96,69 @@ class Vocabularies:
             return None
         return np.array(a, np.int64), np.array(b, np.int64)
 
-    def written(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
-        """Whole groups as ``a1,a2|b1;a3|b2,b3;``; the flags tell where groups end."""
-        group_a = np.cumsum(last_a) - last_a
-        group_b = np.cumsum(last_b) - last_b
-        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
-        place_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
-        place_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
-        kind, ids = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.int64)
-        kind[place_a], kind[place_b] = last_a, 3 + 2 * last_b
-        ids[place_a], ids[place_b] = a, b
-        names = self.names
-        return b"".join([names[k][i] for k, i in zip(kind.tolist(), ids.tolist(), strict=True)])
+    def stretches(self, wanted: set[bytes]) -> dict[bytes, Stretch | None]:
+        """What is known of each stretch after its space; None if a tokenizer does not give it back."""
+        found: dict[bytes, Stretch | None] = {}
+        texts = {}
+        for word in wanted:
+            try:
+                texts[word] = word.decode()
+            except UnicodeDecodeError:
+                found[word] = None
+        many_a = self.a.encode_batch_fast([" " + text for text in texts.values()], add_special_tokens=False)
+        many_b = self.b.encode(list(texts.values()), num_threads=1)
+        for word, a, b in zip(texts, many_a, many_b, strict=True):
+            a, part = a.ids, b" " + word
+            same = b"".join([self.bytes_a[i] for i in a]) == part == b"".join([self.bytes_b[i] for i in b])
+            found[word] = self._stretch(a, b) if same else None
+        return found
+
+    def _stretch(self, a: list[int], b: list[int]) -> Stretch:
+        """Groups of a stretch: tokens are taken from whichever side is behind, until both end together."""
+        sizes_a, sizes_b, written, number, width = *self.sizes, self.written, self.number, len(self.bytes_b)
+        groups, links, begin_a, begin_b, j, at_a, at_b = [], [], 0, 0, 0, 0, 0
+        for i, token in enumerate(a, 1):
+            at_a += sizes_a[token]
+            while at_b < at_a:
+                at_b += sizes_b[b[j]]
+                j += 1
+            if at_a == at_b:
+                links.append(number[token * width + b[j - 1]])
+                if i - begin_a == 1 and j - begin_b == 1:
+                    groups.append(written[token] + b"|" + written[b[begin_b]])
+                else:
+                    groups.append(b",".join([written[x] for x in a[begin_a:i]]) + b"|" + b",".join([written[x] for x in b[begin_b:j]]))
+                begin_a, begin_b = i, j
+        return Stretch(b";".join(groups) + b";", len(a), len(b), pack(f"<{len(links)}i", *links))
+
+
+class Stretch(NamedTuple):
+    """A whole stretch between two breaks: its groups are closed, and so is what is known of it."""
+
+    groups: bytes
+    n_a: int
+    n_b: int
+    links: bytes
+
+
+class Memory:
+    """Stretches that occurred before; how many are kept is bounded, and changes no result."""
+
+    def __init__(self, known: Vocabularies):
+        self.known, self.new, self.old = known, {}, {}
+
+    def __call__(self, parts: list[list[bytes]]) -> dict[bytes, Stretch | None]:
+        """All stretches of some texts."""
+        wanted = set().union(*parts)
+        missing = wanted.difference(self.new)
+        if len(self.new) + len(missing) > MEMO:
+            self.new, self.old, missing = {}, self.new, wanted
+        again = {word: self.old[word] for word in missing if word in self.old}
+        self.new.update(again)
+        found = self.known.stretches(missing.difference(again))
+        self.new.update((word, made) for word, made in found.items() if len(word) <= MEMO_BYTES)
+        long = {word: made for word, made in found.items() if len(word) > MEMO_BYTES}
+        return ChainMap(self.new, long) if long else self.new
 
 
 def byte_signs() -> dict[str, int]:
@@ -158,20 +213,57 @@ def one_group(tokens: tuple[np.ndarray, np.ndarray]) -> bytes:
     return b"|".join(b",".join(b"%d" % i for i in ids.tolist()) for ids in tokens) + b";"
 
 
-def fragment(known: Vocabularies, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[Fragment, np.ndarray]:
-    """Fragment of the tokens that end in a range, and the pairs that end together there."""
+def fragment(known: Vocabularies, a: np.ndarray, b: np.ndarray, low: int | None = None, high: int | None = None) -> tuple[Fragment, np.ndarray]:
+    """Fragment of the tokens that end after ``low`` and not after ``high`` (all without them), and the pairs that end
+    together there. A token belongs to the range that holds its last byte."""
+    ends_a, ends_b = np.cumsum(known.lengths_a[a]), np.cumsum(known.lengths_b[b])
+    if low is not None:
+        s, t = (slice(*np.searchsorted(ends, (low, high), side="right")) for ends in (ends_a, ends_b))
+        a, b, ends_a, ends_b = a[s], b[t], ends_a[s], ends_b[t]
     last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
     cuts_a, cuts_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
     if not len(cuts_a):
         return Fragment((a, b)), np.zeros(0, np.int32)
-    inner_a, inner_b = slice(cuts_a[0], cuts_a[-1]), slice(cuts_b[0], cuts_b[-1])
-    closed = known.written(a[inner_a], b[inner_b], last_a[inner_a], last_b[inner_b]) if len(cuts_a) > 1 else b""
-    made = Fragment(
-        (a[: cuts_a[0]], b[: cuts_b[0]]), True, (closed,), (a[cuts_a[-1] :], b[cuts_b[-1] :]),
-    )
+    groups = zip(np.split(a, cuts_a)[1:-1], np.split(b, cuts_b)[1:-1], strict=True)
+    closed = b"".join(map(one_group, groups))
+    made = Fragment((a[: cuts_a[0]], b[: cuts_b[0]]), True, (closed,), (a[cuts_a[-1] :], b[cuts_b[-1] :]))
     return made, known.pair(a[last_a], b[last_b])
 
 
+def range_fragment(known: Vocabularies, words: list[bytes], of: dict, low: int, high: int) -> tuple[Fragment, int, int, np.ndarray] | None:
+    """Fragment of a range, counts of its tokens of both kinds, and its links; nothing if a stretch is not given back.
+
+    Stretches within the range are closed; of those across its ends the tokens tell which belong to it. The first
+    stretch that begins within it is taken apart as well: what it has before its first cut may belong to a group that
+    began earlier.
+    """
+    ends = np.cumsum([1 + len(word) for word in words])
+    made, n_a, n_b, links, at, begun = EMPTY, 0, 0, [], 0, False
+    for word, end in zip(words, ends.tolist(), strict=True):
+        begin, at = at, end
+        if end <= low or begin >= high:
+            continue
+        if of[word] is None:
+            return None
+        if begin >= low and end <= high and begun:
+            stretch = of[word]
+            made = Fragment(made.before, True, (*made.closed, stretch.groups), EMPTY.after)
+            n_a, n_b = n_a + stretch.n_a, n_b + stretch.n_b
+            links.append(np.frombuffer(stretch.links, np.int32))
+            continue
+        a, b = known.tokens(b" " + word)
+        some, pairs = fragment(known, a, b, low - begin, high - begin)
+        inside = [
+            int(np.diff(np.searchsorted(np.cumsum(sizes[ids]), (low - begin, high - begin), side="right"))[0])
+            for sizes, ids in ((known.lengths_a, a), (known.lengths_b, b))
+        ]
+        made, n_a, n_b = made + some, n_a + inside[0], n_b + inside[1]
+        links.append(pairs)
+        # A stretch that ends within the range ends with a cut, so the next one is closed by itself.
+        begun = end <= high
+    return made, n_a, n_b, np.concatenate(links) if links else np.zeros(0, np.int32)
+
+
 def byte_ranges(text: bytes, size: int) -> list[tuple[int, int, int, int]]:
     """Ranges of ``size`` bytes of a text as ``low, high, begin, end``: the part from begin to end holds the range, and
     no token of either tokenizer goes across its ends.
@@ -205,23 +297,29 @@ def fragments(parts: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = vocabularies(path_a, path_b)
-        none = np.zeros(0, np.int32)
+        memory, none = Memory(known), np.zeros(0, np.int32)
+        nothing = (False, 0, 0, 0, *packed(EMPTY), none, "")
         for pdf in batches:
-            out = []
-            for doc_id, row, number, ranges, low, high, part in pdf.itertuples(index=False, name=None):
+            # Neither tokenizer has a token across a break, so stretches between breaks are aligned by themselves.
+            split = [BREAK.split(part[1:]) if len(part) > 1 else [] for part in pdf["part"]]
+            of, out = memory(split), []
+            columns = (pdf[name] for name in ("doc_id", ROW, "range", "ranges", "low", "high"))
+            for doc_id, row, number, ranges, low, high, words in zip(*columns, split, strict=True):
                 place = (None if pd.isna(doc_id) else int(doc_id), row, number, ranges)
-                tokens = known.tokens(part) if len(part) > 1 else None
-                if tokens is None:
-                    out.append((*place, False, 0, 0, 0, False, b"", b"", b"", b"", b"", none, ""))
-                    continue
-                ends = [np.cumsum(n[ids]) for n, ids in zip((known.lengths_a, known.lengths_b), tokens, strict=True)]
-                # A token belongs to the range that holds its last byte.
-                inside = [slice(*np.searchsorted(e, (low, high), side="right")) for e in ends]
-                a, b = (ids[s] for ids, s in zip(tokens, inside, strict=True))
-                made, links = fragment(known, a, b, *(e[s] for e, s in zip(ends, inside, strict=True)))
-                digest = hashlib.sha256(made.groups()).hexdigest() if ranges == 1 else None
-                kept = packed(made if ranges > 1 else EMPTY)
-                out.append((*place, True, len(a), len(b), len(links), *kept, links, digest))
+                if ranges == 1:
+                    stretches = [of[word] for word in words]
+                    if not words or None in stretches:
+                        out.append((*place, *nothing))
+                        continue
+                    links = np.frombuffer(b"".join([x.links for x in stretches]), np.int32)
+                    digest = hashlib.sha256(b"".join([x.groups for x in stretches])[:-1]).hexdigest()
+                    counts = sum([x.n_a for x in stretches]), sum([x.n_b for x in stretches]), len(links)
+                    out.append((*place, True, *counts, *packed(EMPTY), links, digest))
+                elif (found := range_fragment(known, words, of, low, high)) is None:
+                    out.append((*place, *nothing))
+                else:
+                    made, n_a, n_b, links = found
+                    out.append((*place, True, n_a, n_b, len(links), *packed(made), links, None))
             yield pd.DataFrame(out, columns=NAMES).astype({"doc_id": "Int64"})
 
     return parts.mapInPandas(run, FRAGMENT)
