@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from gamegrain.llm.common import ROW, numbered, prepare, ranked, write_out
 
-# The lists' centres are fitted on at most SAMPLE vectors; every vector is indexed.
-SAMPLE, MOST_LISTS, PER_LIST = 20_000, 1_024, 200
+# The lists' centres are fitted on at most SAMPLE vectors; every vector is indexed. There are as many lists as vectors in
+# a list, up to MOST_LISTS; beyond its square, lists grow longer.
+SAMPLE, MOST_LISTS = 20_000, 2_048
 # At least PROBES lists are probed, and so many that they hold RECALL of the true neighbours of at most TRIALS queries,
 # found by brute force.
-PROBES, RECALL, TRIALS = 32, 0.98, 128
-BLOCK, QUERY_BLOCK = 256, 128  # vectors and queries in one row of the index
+PROBES, RECALL, TRIALS = 4, 0.95, 128
+# Nearest lists of a query that are scanned before its reach is taken anew.
+ROUNDS = (1, 8)
+BLOCK, QUERY_BLOCK = 1_024, 128  # vectors and queries in one row of the index
 COLUMNS = 16  # dimensions between two tests
 CONFIDENCE = 2.1  # of the test, in deviations at one dimension
 IDS_PER_SALT = 100_000
@@ -92,25 +95,30 @@ def stacked(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64)
 
 
-def abandon(columns: np.ndarray, query: np.ndarray, reach: float) -> np.ndarray:
-    """Rows of a block that may be within the distance ``reach`` (squared) of the query.
+def abandon(vectors: np.ndarray, queries: np.ndarray, reaches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (place of a query, place of a vector) that may be within the query's ``reach``, a squared distance.
 
     After each column block the partial distance, scaled to all dimensions, is tested; later columns are read for the
-    remaining rows only.
+    remaining pairs only. The first block is a product of matrices, since no pair has been abandoned there.
     """
-    size = len(query)
-    rows = np.arange(columns.shape[1])
-    partial = np.zeros(columns.shape[1])
-    for start in range(0, size, COLUMNS):
-        end = min(size, start + COLUMNS)
-        apart = columns[start:end][:, rows] - query[start:end, None]
-        partial = partial + (apart**2).sum(axis=0)
-        bound = reach if end == size else reach * (1 + CONFIDENCE / np.sqrt(end)) ** 2 * end / size
-        near = partial <= bound * (1 + 1e-9)
-        rows, partial = rows[near], partial[near]
-        if not len(rows):
-            break
-    return rows
+    size = queries.shape[1]
+
+    def bound(end: int) -> np.ndarray:
+        scaled = reaches if end == size else reaches * (1 + CONFIDENCE / np.sqrt(end)) ** 2 * end / size
+        return scaled * (1 + 1e-9)
+
+    end = min(size, COLUMNS)
+    x, q = vectors[:, :end], queries[:, :end]
+    partial = (q**2).sum(axis=1)[:, None] + (x**2).sum(axis=1)[None, :] - 2 * q @ x.T
+    at, rows = np.nonzero(partial <= bound(end)[:, None] + 1e-9)
+    partial = partial[at, rows]
+    while end < size and len(rows):
+        start, end = end, min(size, end + COLUMNS)
+        apart = vectors[rows, start:end] - queries[at, start:end]
+        partial = partial + np.einsum("ij,ij->i", apart, apart)
+        near = partial <= bound(end)[at]
+        at, rows, partial = at[near], rows[near], partial[near]
+    return at, rows
 
 
 INDEX = "list int, block long, cids binary, firsts binary, vectors binary, columns binary"
@@ -216,19 +224,17 @@ def scan(probes: DataFrame, index: DataFrame, longest: float, k: int) -> DataFra
             for row in pdf.itertuples():
                 cids, firsts = np.frombuffer(row.cids, np.int64), np.frombuffer(row.firsts, np.int64)
                 x = np.frombuffer(row.vectors, np.float32).reshape(len(cids), -1).astype(np.float64)
-                columns = np.frombuffer(row.columns, np.float32).reshape(-1, len(cids)).astype(np.float64)
+                turned = np.frombuffer(row.columns, np.float32).reshape(-1, len(cids)).T.astype(np.float64, order="C")
                 qcids, reaches = np.frombuffer(row.qcids, np.int64), np.frombuffer(row.reaches, np.float64)
                 q = np.frombuffer(row.queries, np.float32).reshape(len(qcids), -1).astype(np.float64)
-                out = []
-                for one, turned, qcid, reach in zip(q, lifted_queries(q), qcids, reaches, strict=True):
-                    rows = abandon(columns, turned, reach) if np.isfinite(reach) else np.arange(len(cids))
-                    scores = (x[rows] * one).sum(axis=1)
-                    best = np.lexsort((firsts[rows], -scores))[: k + 1]
-                    if len(best):
-                        at = rows[best]
-                        out.append(pd.DataFrame({"qcid": qcid, "cid": cids[at], "first": firsts[at], "score": scores[best]}))
-                if out:
-                    yield pd.concat(out)
+                at, rows = abandon(turned, lifted_queries(q), reaches)
+                scores = (x[rows] * q[at]).sum(axis=1)
+                order = np.lexsort((firsts[rows], -scores, at))
+                at, rows, scores = at[order], rows[order], scores[order]
+                best = np.arange(len(at)) - np.searchsorted(at, at) <= k  # places of a query among its own
+                at, rows, scores = at[best], rows[best], scores[best]
+                if len(at):
+                    yield pd.DataFrame({"qcid": qcids[at], "cid": cids[rows], "first": firsts[rows], "score": scores})
 
     counts = write_out(probes, "probes").withColumn(ROW, F.xxhash64("qcid", "list"))
     blocks = ranked(counts, "list", "_at").withColumn("qblock", F.floor(F.col("_at") / QUERY_BLOCK))
@@ -244,9 +250,9 @@ def nearest(df: DataFrame, k: int, is_query, vector: str = "embedding", key: str
     non-finite numbers take no part; rows that repeat an id and vector count once. Equal vectors share one place in
     the index and one search. A table without usable vectors gives no rows.
 
-    The nearest list of each query is scanned whole; its k-th distance is the reach with which the other lists are
-    scanned adaptively. How many lists are probed is measured
-    on the table itself, see ``probes_needed``.
+    The nearest list of each query is scanned whole. Its k-th distance is the reach with which the next lists are
+    scanned adaptively, and theirs is the reach for all others. How many lists are probed is measured on the table
+    itself, see ``probes_needed``.
     """
     spark = prepare(df.sparkSession)
     rows = write_out(usable(df, vector, key), "usable")
@@ -256,7 +262,7 @@ def nearest(df: DataFrame, k: int, is_query, vector: str = "embedding", key: str
     if not stats.n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     longest = float(stats.longest)
-    lists = max(1, min(MOST_LISTS, stats.n // PER_LIST))
+    lists = max(1, min(MOST_LISTS, int(stats.n**0.5)))
     picked = classes.orderBy(F.xxhash64("vector")).select("vector").limit(SAMPLE).toPandas()["vector"]
     centres = centres_of(lifted(stacked(picked), longest), lists)
     index = build_index(classes, centres, longest)
@@ -268,16 +274,17 @@ def nearest(df: DataFrame, k: int, is_query, vector: str = "embedding", key: str
     queries = classes.join(asked.select("cid").distinct(), "cid", "left_semi")
     least = max(PROBES, probes_needed(queries, index, centres, k))
     probes = write_out(probe(queries, centres, sizes, k, least), "all-probes")
-    own = write_out(scan(probes.where("place = 0").withColumn("reach", F.lit(None).cast("double")), index, longest, k), "own-list")
     place = F.row_number().over(Window.partitionBy("qcid").orderBy(F.desc("score"), "first"))
-    kth = own.withColumn("_n", place).where(F.col("_n") == k + 1).select("qcid", F.col("score").alias("kth"))
     length2 = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    reached = probes.where("place > 0").join(kth, "qcid", "left").withColumn(
-        # A nearest list of k vectors or fewer gives no reach; greatest() alone would make it 0.
-        "reach", F.when(F.col("kth").isNotNull(), F.greatest(longest**2 + length2 - 2 * F.col("kth"), F.lit(0.0)))
-    )
-    found = own.union(scan(reached.drop("kth"), index, longest, k))
-    best = found.withColumn("_n", place).where(F.col("_n") <= k + 1).drop("_n", "first")
+    best = spark.createDataFrame([], FOUND)
+    for first, last in zip((0, *ROUNDS), (*ROUNDS, lists), strict=True):
+        kth = best.withColumn("_n", place).where(F.col("_n") == k + 1).select("qcid", F.col("score").alias("kth"))
+        # While a query has k vectors or fewer, it has no reach; greatest() alone would make it 0.
+        reach = F.when(F.col("kth").isNotNull(), F.greatest(longest**2 + length2 - 2 * F.col("kth"), F.lit(0.0)))
+        due = probes.where((F.col("place") >= first) & (F.col("place") < last)).join(kth, "qcid", "left")
+        found = best.union(scan(due.withColumn("reach", reach).drop("kth"), index, longest, k))
+        best = write_out(found.withColumn("_n", place).where(F.col("_n") <= k + 1).drop("_n"), "best")
+    best = best.drop("first")
     ids = best.join(classes.select("cid", "ids"), "cid").select("qcid", "score", F.explode("ids").alias("vec_id"))
     order = Window.partitionBy("qcid").orderBy(F.desc("score"), "vec_id")
     ids = write_out(ids.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= k + 1).drop("_n"), "nearest")

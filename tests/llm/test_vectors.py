@@ -60,12 +60,13 @@ def test_abandons_only_far_rows():
     x = rng.standard_normal((500, 65))
     distance = ((x - x[0]) ** 2).sum(axis=1)
     reach = np.sort(distance)[20]
-    kept = vectors.abandon(x.T, x[0], reach)
-    assert set(kept) <= set(np.nonzero(distance <= reach * 1.01)[0]) and len(kept) >= 19
+    of, kept = vectors.abandon(x, x[[0, 0]], np.array([reach, np.inf]))
+    assert set(kept[of == 0]) <= set(np.nonzero(distance <= reach * 1.01)[0]) and (of == 0).sum() >= 19
+    assert sorted(kept[of == 1]) == list(range(500))
 
 
 def test_recall_does_not_fall_with_the_number_of_lists(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "PER_LIST", 20)
+    monkeypatch.setattr(vectors, "ROUNDS", (1, 3))
     rng = np.random.default_rng(9)
     x = rng.standard_normal((10, 48))[rng.integers(0, 10, 6000)] + 1.5 * rng.standard_normal((6000, 48))
     x /= np.linalg.norm(x, axis=1)[:, None]
