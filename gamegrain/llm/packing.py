@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
@@ -17,7 +18,7 @@ from gamegrain.llm.common import ROW, numbered, prepare, ranked, text_of
 
 CAPACITY = 4096
 END_ID = 1
-MEMO = 300_000
+MEMO = 700_000  # stretches that a worker remembers, of this generation and the one before; changes no result
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -54,22 +55,30 @@ class Coder:
 
     def _learn(self, words: set[str]) -> None:
         """Adds words to the memory; a word with a stop at its end is that word and the stop."""
-        new, old, stops, unknown = self.new, self.old, {}, {}
-        for word in words:
-            if (found := old.get(word)) is not None:
-                new[word] = found
-            elif word[-1] in ".," and word[-2:-1].lower()[-1:].isalpha():
+        new, old = self.new, self.old
+        again = {word: old[word] for word in words.intersection(old)} if len(words) < len(old) else {}
+        new.update(again)
+        stops, rest, plain = {}, set(), set()
+        for word in words.difference(again):
+            if word[-1] in ".," and word[-2:-1].lower()[-1:].isalpha():
                 stops[word] = word[:-1]
             else:
-                unknown[word] = None
-        for word in [*stops.values(), ".", ","]:
-            if word not in new:
-                unknown[word] = None
+                rest.add(word)
+        rest.update(stops.values(), (".", ","))
         # A word of ASCII letters is a pre-token of its own: it goes to the model without the steps before it.
+        capitals = {}
+        for word in rest.difference(new):
+            if not (word.isascii() and word.isalpha()):
+                continue
+            if (lower := word.lower()) != word:
+                capitals[word] = lower
+            plain.add(lower)
         tokens = self.tokenizer.model.tokenize
-        for word in [w for w in unknown if w.isascii() and w.isalpha()]:
-            new[word] = np.array([token.id for token in tokens(word.lower())], "<u4").tobytes()
-        known = [w for w in unknown if w not in new]
+        for word in plain.difference(new):
+            new[word] = array("I", [token.id for token in tokens(word)]).tobytes()
+        for word, lower in capitals.items():
+            new[word] = new[lower]
+        known = list(rest.difference(new))
         new.update(zip(known, self._encode(known), strict=True))
         for word, stem in stops.items():
             new[word] = new[stem] + new[word[-1]]
@@ -79,12 +88,9 @@ class Coder:
         found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids, starts = np.array(found.ids, "<u4"), np.array([at for at, _ in found.offsets], np.int64)
         ends = np.cumsum(np.array([len(word) + 1 for word in words], np.int64))
-        cuts = np.searchsorted(starts, ends).tolist()
-        raw, at, out = ids.tobytes(), 0, []
-        for cut in cuts:
-            out.append(raw[4 * at : 4 * cut])
-            at = cut
-        return out
+        cuts = (4 * np.searchsorted(starts, ends)).tolist()
+        raw = ids.tobytes()
+        return [raw[at:cut] for at, cut in zip([0, *cuts], cuts, strict=False)]
 
 
 @lru_cache(maxsize=1)
@@ -98,14 +104,18 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode, end = coder(path).encode, np.array([END_ID], "<u4").tobytes()
         for pdf in batches:
-            rows = []
-            for doc_id, ids in zip(pdf["doc_id"], encode(pdf["text"].tolist()), strict=True):
+            owner, start, length, checksum = [], [], [], []
+            for row, ids in enumerate(encode(pdf["text"].tolist())):
                 ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                for at in range(0, len(ids), 4 * capacity):
                     part = ids[at : at + 4 * capacity]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+                    owner.append(row)
+                    start.append(at // 4)
+                    length.append(len(part) // 4)
+                    checksum.append(zlib.crc32(part))
+            yield pd.DataFrame({
+                "doc_id": pdf["doc_id"].astype("Int64").take(owner).array, "piece": np.array(start, np.int64) // capacity,
+                "start": start, "length": length, "ids_crc32": checksum})
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     return narrow.mapInPandas(run, PIECES)
