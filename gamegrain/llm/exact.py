@@ -63,49 +63,53 @@ def build_index(history: DataFrame, shards: int) -> DataFrame:
 
 
 def look_up(classes: DataFrame, index: DataFrame, shards: int) -> DataFrame:
-    """Classes of new rows merged with the index: ``CLASSES`` of all digests of both.
+    """``CLASSES`` of the indexed digests, new rows that are members counted in. Digests of nonmembers are not among them.
 
-    A slot counts as a hit only if the whole digest in it is the same, byte for byte. Members join the indexed
-    group; the rest stay the groups they are.
+    A slot counts as a hit only if the whole digest in it is the same, byte for byte.
     """
+    names = [field.split()[0] for field in CLASSES.split(", ")]
 
     def merge(new: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
-        digests = _digest_array(new["digest"]) if len(new) else np.zeros((0, 32), np.uint8)
-        has, ids = new["win_has"].to_numpy(bool), new["win_id"].to_numpy(np.int64)
-        rows, sizes = new["win_row"].to_numpy(np.int64), new["group_size"].to_numpy(np.int64)
-        if len(stored):
-            entry = stored.iloc[0]
-            old = np.frombuffer(entry["digests"], np.uint8).reshape(-1, 32)
-            o_ids, o_rows, o_sizes = (np.frombuffer(entry[k], np.int64).copy() for k in ("ids", "rows", "sizes"))
-            o_has = np.frombuffer(entry["has_ids"], bool).copy()
+        if not len(stored):  # nothing is indexed here
+            return pd.DataFrame(columns=names)
+        entry = stored.iloc[0]
+        old = np.frombuffer(entry["digests"], np.uint8).reshape(-1, 32)
+        o_ids, o_rows, o_sizes = (np.frombuffer(entry[k], np.int64).copy() for k in ("ids", "rows", "sizes"))
+        o_has = np.frombuffer(entry["has_ids"], bool).copy()
+        if len(new):
+            digests = _digest_array(new["digest"])
             slot = PerfectHash.from_bytes(entry["hash"]).slots(*_words(digests))
             member = slot >= 0
             member[member] = (old[slot[member]] == digests[member]).all(axis=1)
             at = slot[member]
-            o_sizes[at] += sizes[member]
+            has, ids = new["win_has"].to_numpy(bool)[member], new["win_id"].to_numpy(np.int64)[member]
+            rows = new["win_row"].to_numpy(np.int64)[member]
+            o_sizes[at] += new["group_size"].to_numpy(np.int64)[member]
             later = np.array(
                 [(a, b, c) > (d, e, f) for a, b, c, d, e, f in zip(
-                    has[member], ids[member], rows[member], o_has[at], o_ids[at], o_rows[at], strict=True)], bool,
+                    has, ids, rows, o_has[at], o_ids[at], o_rows[at], strict=True)], bool,
             )
-            for mine, new_ in ((o_has, has), (o_ids, ids), (o_rows, rows)):
-                mine[at[later]] = new_[member][later]
-            rest = ~member
-            digests = np.concatenate([old, digests[rest]])
-            has, ids = np.concatenate([o_has, has[rest]]), np.concatenate([o_ids, ids[rest]])
-            rows, sizes = np.concatenate([o_rows, rows[rest]]), np.concatenate([o_sizes, sizes[rest]])
-        return pd.DataFrame({"digest": [d.tobytes() for d in digests], "win_has": has, "win_id": ids, "win_row": rows,
-                             "group_size": sizes})
+            for mine, newer in ((o_has, has), (o_ids, ids), (o_rows, rows)):
+                mine[at[later]] = newer[later]
+        return pd.DataFrame({"digest": [d.tobytes() for d in old], "win_has": o_has, "win_id": o_ids, "win_row": o_rows,
+                             "group_size": o_sizes})
 
     new = with_shard(classes, shards).groupBy("shard")
     return new.cogroup(index.groupBy("shard")).applyInPandas(merge, CLASSES)
 
 
+def shards_for(*classes: DataFrame) -> int:
+    """Shards such that no task gets much more than ``KEYS_PER_SHARD`` digests, old or new."""
+    return max(1, *(-(-found.count() // KEYS_PER_SHARD) for found in classes))
+
+
 def exact_classes(docs: DataFrame, history: Column, *carry: Column) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256`` of every row of ``docs``, and the columns in ``carry``.
 
     Rows where ``history`` holds are the texts seen before: their distinct digests make the index. All others are
-    looked up in it. Texts are equal when identical after lower-casing A-Z; NULL counts as empty. The row with the
-    largest ``doc_id`` stays (NULL ids lose); of rows that repeat that id, one stays. Empty table: empty result.
+    looked up in it; nonmembers stay the groups that Spark has made of them. Texts are equal when identical after lower-casing A-Z; NULL counts as empty. The row with the
+    largest ``doc_id`` stays (NULL ids lose); of rows that repeat that id, one stays. Of a very long text only the digest is kept. Empty table:
+    empty result.
     """
     prepare(docs.sparkSession)
     digest = F.unhex(F.sha2(ascii_lower(text_of()), 256))
@@ -115,10 +119,12 @@ def exact_classes(docs: DataFrame, history: Column, *carry: Column) -> DataFrame
         "digests",
     )
     old = write_out(classes_of(rows.where("seen")), "history")
-    shards = max(1, -(-old.count() // KEYS_PER_SHARD))
+    new = write_out(classes_of(rows.where("NOT seen")), "new-classes")
+    shards = shards_for(old, new)
     index = write_out(build_index(old, shards), "digest-index")
-    merged = look_up(classes_of(rows.where("NOT seen")), index, shards)
-    joined = rows.drop("seen").join(merged, "digest")
+    indexed = write_out(look_up(new, index, shards), "indexed-classes")
+    nonmembers = new.join(indexed.select("digest"), "digest", "left_anti")
+    joined = rows.drop("seen").join(indexed.unionByName(nonmembers), "digest")
     carried = [F.col("carried").getField(name).alias(name) for name in rows.schema["carried"].dataType.names[1:]]
     return joined.select(
         "doc_id", *carried, F.when(F.col("win_has"), F.col("win_id")).alias("keep_id"), "group_size",
