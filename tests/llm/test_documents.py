@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -9,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gamegrain.llm import bytebpe, exact, packing, sharding
@@ -67,6 +69,17 @@ def test_exact(docs, rows, empty):
     assert exact.exact_dedup(empty).count() == 0
 
 
+def test_exact_without_history(docs, rows, monkeypatch):
+    """A first delivery: nothing is indexed, the digests are spread all the same, and the classes are what they are."""
+    monkeypatch.setattr(exact, "KEYS_PER_SHARD", 3)
+    found = []
+    for history in (F.lit(False), F.lit(True), F.col("doc_id") % 3 == 0):
+        found.append(sorted(map(tuple, exact.exact_classes(docs, history).drop("kept").collect()), key=repr))
+    assert found[0] == found[1] == found[2]
+    few = docs.select(F.col("doc_id").alias("digest"))
+    assert exact.shards_for(few.limit(0), few.limit(10)) == exact.shards_for(few.limit(10), few.limit(0)) == 4
+
+
 def test_sharding(docs, rows, empty):
     out = sharding.shard_documents(docs).collect()
     want = Counter((r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in rows)
@@ -81,13 +94,38 @@ def test_sharding(docs, rows, empty):
     assert sharding.shard_documents(empty).count() == 0
 
 
+def plain_lpt(loads, shards):
+    total = [0] * shards
+    for load in sorted(loads, reverse=True):
+        total[total.index(min(total))] += load
+    return total
+
+
 def test_schedule_takes_the_least_loaded_shard():
-    loads = {name: load for name, load in zip("abcdefg", (9, 8, 7, 6, 5, 4, 3), strict=True)}
-    placed = sharding.schedule(list(loads.items()), 3)
-    totals = Counter()
-    for name, shard in placed.items():
-        totals[shard] += loads[name]
-    assert sorted(totals.values()) == [13, 13, 16]
+    rng = random.Random(6)
+    for shards in (1, 2, 5, 24):
+        for _ in range(40):
+            loads = [rng.choice((0, 1, 3, 7, rng.randrange(1, 60), rng.randrange(1, 4000))) for _ in range(rng.randrange(1, 900))]
+            total, places = [0] * shards, Counter()
+            for load, first, last, shard in sharding.schedule(list(Counter(loads).items()), shards):
+                total[shard] += load * (last - first)
+                places.update((load, i) for i in range(first, last))
+            assert total == plain_lpt(loads, shards)
+            assert places == Counter((x, i) for x, n in Counter(loads).items() for i in range(n))
+
+
+def test_shards_are_those_of_the_plain_schedule(spark):
+    rng = random.Random(7)
+    rows = [(i, f"g{rng.randrange(150)}", rng.randrange(0, 40)) for i in range(800)] + [(900 + i, "hot", 30) for i in range(60)]
+    rows += [(2000 + i, f"one{i}", 5) for i in range(300)] + [(5000, None, 3)]
+    out = sharding.lpt_shards(spark.createDataFrame(rows, "id int, g string, size int"), F.col("g"), F.col("size"), 7, "g").collect()
+    groups, total, homes = Counter(), Counter(), defaultdict(set)
+    for r in out:
+        groups[r.g] += r.size
+        total[r.shard] += r.size
+        homes[r.g].add(r.shard)
+    assert len(out) == len(rows) and all(len(h) == 1 for h in homes.values())
+    assert sorted(total[s] for s in range(7)) == sorted(plain_lpt(groups.values(), 7))
 
 
 def test_bpe(docs, rows, empty):
