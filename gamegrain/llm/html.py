@@ -22,7 +22,8 @@ INLINE = set(
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
-# What is not the article: by element, and by a word of its class, id or role.
+# What is not the article: by element, and by the names in its class, id or role. A name counts if all its parts are on
+# the two lists, one of them on the first.
 FURNITURE = set("nav header footer aside form head button select dialog menu object".split()) | RAW
 FURNITURE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner banners cookie cookies "
@@ -30,7 +31,16 @@ FURNITURE_WORDS = set(
     "sidebar aside footer header masthead comment comments reply replies respond disqus share sharing social related "
     "newsletter subscribe subscription signup login widget toolbar pagination pager search complementary contentinfo".split()
 )
-WHOLE = {"html", "body", "main", "article"}
+FILLERS = set(
+    "site page main global top bottom left right primary secondary post posts article articles story entry list box bar "
+    "block area wrapper wrap container section inner outer group item items links link buttons button icons slot unit "
+    "panel form reader user the and".split()
+)
+# Never the text, however much they hold.
+NEVER = set("nav footer aside menu button select head".split()) | RAW
+COMMENTS = set("comment comments reply replies respond disqus".split())
+WHOLE = {"html", "body", "main"}
+FRAMES = {"article", "main"}
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*>""", re.S)
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -38,16 +48,21 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
 WORD = re.compile(r"[a-z]+")
 
 LEAST_CHARS = 25  # shorter paragraphs give no points, unless the page has no others
-SIBLING_SHARE = 0.2  # a sibling with this part of the best score belongs to the text
+SIBLING_SHARE = 0.2  # beside an article, a sibling with this part of the best score belongs to the text
+HOLDS_ALL = 0.9  # an element with this part of the page's points, and with its title or article, is no furniture
 
 
 class Node:
-    __slots__ = ("tag", "parent", "dropped", "points", "chars", "linked")
-
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
-        self.points = 0.0
+    __slots__ = ("tag", "parent", "kind", "frame", "titles", "points", "chars", "linked", "raw", "title")
+
+    def __init__(self, tag: str, parent: Node | None, kind: int = 0):
+        self.tag, self.parent, self.kind = tag, parent, kind  # kind: 0 text, 1 furniture, 2 furniture in any case
+        self.frame = parent is not None and (parent.frame or tag in FRAMES)
+        # The header of an article: its headings are part of the text.
+        self.titles = parent is not None and (parent.titles or tag == "header" and self.frame) and kind < 2
+        self.points = self.raw = 0.0
         self.chars = self.linked = 0
+        self.title = False
 
     def score(self) -> float:
         return self.points * (1 - self.linked / self.chars) if self.chars else 0.0
@@ -58,19 +73,32 @@ class Node:
             yield node
             node = node.parent
 
-
-def _furniture(tag: str, attributes: str) -> bool:
-    if tag in FURNITURE:
-        return True
-    if not attributes or tag in WHOLE - {"article"}:
-        return False
-    words = {w for value in NAMED.findall(attributes) for w in WORD.findall(value.lower())}
-    return not words.isdisjoint(FURNITURE_WORDS) or bool(HIDDEN.search(attributes))
+    def dropped(self) -> bool:
+        heading = self.tag in HEADINGS and self.titles
+        return any(n.kind and not (heading and n.tag == "header" and n.titles) for n in self.up())
+
+
+def _kind(tag: str, attributes: str) -> int:
+    """Whether an element is furniture: 0 no, 1 unless it holds the whole text, 2 in any case."""
+    if tag in NEVER:
+        return 2
+    kind = int(tag in FURNITURE)
+    if not attributes or tag in WHOLE:
+        return kind
+    if HIDDEN.search(attributes):
+        kind = 1
+    for value in NAMED.findall(attributes):
+        for name in value.lower().strip("\"'").split():
+            words = set(WORD.findall(name))
+            named = words & FURNITURE_WORDS
+            if named and words <= FURNITURE_WORDS | FILLERS:
+                kind = max(kind, 2 if named & COMMENTS else 1)
+    return kind
 
 
 def blocks_of(html: str) -> list[tuple[Node, str, int]]:
     """Stretches of text between block boundaries in page order: (element, text, characters inside links)."""
-    root = Node("", None, False)
+    root = Node("", None)
     top, blocks, pieces = root, [], []
     linked, links, at, end = 0, 0, 0, len(html)
 
@@ -78,13 +106,13 @@ def blocks_of(html: str) -> list[tuple[Node, str, int]]:
         nonlocal pieces, linked
         if pieces:
             text = " ".join("".join(pieces).split())
-            if text and not top.dropped:
+            if text:
                 blocks.append((top, text, min(linked, len(text))))
         pieces, linked = [], 0
 
     def take(text: str) -> None:
         nonlocal linked
-        if text and not top.dropped:
+        if text:
             text = unescape(text)
             pieces.append(text)
             if links:
@@ -127,18 +155,42 @@ def blocks_of(html: str) -> list[tuple[Node, str, int]]:
             elif top.tag == "p" or top.tag in HEADINGS and tag in HEADINGS:
                 top = top.parent
             if tag not in VOID and not found[3].endswith("/"):
-                top = Node(tag, top, top.dropped or _furniture(tag, found[3]))
+                top = Node(tag, top, _kind(tag, found[3]))
+                if tag in FRAMES or tag == "h1":
+                    for owner in top.up():
+                        owner.title = True
     flush()
     return blocks
 
 
+def _points(text: str) -> int:
+    return 1 + text.count(",") + min(len(text) // 100, 3)
+
+
+def without_furniture(blocks: list[tuple[Node, str, int]]) -> list[tuple[Node, str, int]]:
+    """The blocks that no furniture holds. An element that holds nearly all points of the page, and its title or its
+    article, is no furniture, whatever its name: a form or an odd wrapper around the whole page."""
+    total = 0
+    for node, text, _ in blocks:
+        owners = [*node.up()]
+        if len(text) >= LEAST_CHARS and node.tag not in HEADINGS and all(n.kind < 2 for n in owners):
+            total += _points(text)
+            for owner in owners:
+                owner.raw += _points(text)
+    for node, _, _ in blocks:
+        for owner in node.up():
+            if owner.kind == 1 and owner.title and total and owner.raw >= HOLDS_ALL * total:
+                owner.kind = 0
+    return [block for block in blocks if not block[0].dropped()]
+
+
 def _award(blocks: list[tuple[Node, str, int]], least: int) -> list[Node]:
     """Points of the paragraphs: the container gets them whole, the element around it half."""
     scored = {}
     for node, text, _ in blocks:
         if len(text) < least or node.tag in HEADINGS:
             continue
-        points = 1 + text.count(",") + min(len(text) // 100, 3)
+        points = _points(text)
         holder = node.parent if node.tag in ("p", "pre", "li", "td", "blockquote", "dd") and node.parent else node
         for owner, part in ((holder, 1.0), (holder.parent, 0.5)):
             if owner is not None:
@@ -149,7 +201,7 @@ def _award(blocks: list[tuple[Node, str, int]], least: int) -> list[Node]:
 
 def main_text(html: str | None) -> str:
     """The text of the best container and of the siblings that belong to it."""
-    blocks = blocks_of(html or "")
+    blocks = without_furniture(blocks_of(html or ""))
     if not blocks:
         return ""
     for node, text, linked in blocks:
@@ -162,6 +214,7 @@ def main_text(html: str | None) -> str:
     best = max(scored, key=Node.score)
     best = next((n for n in best.up() if n.tag == "article"), best)
     around, least = best.parent, best.score() * SIBLING_SHARE
+    framed = best.tag in FRAMES
 
     def belongs(node: Node, text: str, linked: int) -> bool:
         branch = None
@@ -172,6 +225,8 @@ def main_text(html: str | None) -> str:
                 branch = owner
         if branch is None:
             return False
+        if not framed:  # what furniture left of the parts beside the best one is text, unless most of it is links
+            return 2 * branch.linked <= branch.chars
         sparse = 4 * linked <= len(text)
         return branch.tag in HEADINGS or branch.score() >= least > 0 or branch.tag == "p" and len(text) > 80 and sparse
 
@@ -182,7 +237,9 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row; nothing is shuffled.
 
     NULL and empty pages, and pages of markup only, have an empty text. Broken markup is read as far as it goes: an
-    unclosed element ends with the page, an unclosed script hides the rest. Extra columns are not read.
+    unclosed element ends with the page, an unclosed script hides the rest. Of containers with equal scores the first
+    one counts. Repeated rows each give their row, an empty table gives an empty result, a very long page is one row.
+    Extra columns are not read.
     """
     prepare(pages.sparkSession)
 

@@ -1,9 +1,12 @@
 """Tree scoring and trie counts against plain versions of the same rules."""
 
 import math
+import re
+from html import unescape
 
 import public_tokenizers
-from gamegrain.llm import html, tokencount
+import pytest
+from gamegrain.llm import html, queries, tokencount
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -34,6 +37,40 @@ def test_siblings_belong():
     assert html.main_text(page) == f"Head {text.strip()} {text.strip()}"
 
 
+TEXT = "A paragraph of some length, with commas, that gives points, and more points."
+
+
+@pytest.mark.parametrize("page", [
+    f'<body><div class="content has-sidebar"><h1>T</h1><p>{TEXT}</p></div><div class="sidebar"><p>{TEXT}</p></div></body>',
+    f'<body><article class="post with-comments"><h1>T</h1><p>{TEXT}</p></article></body>',
+    f'<body><form id="aspnetForm" action="/"><div class="nav-menu"><p>{TEXT}</p></div><h1>T</h1><p>{TEXT}</p></form></body>',
+    f'<body><div id="ad-free-article"><h1>T</h1><p>{TEXT}</p></div><div class="ad-slot"><p>{TEXT}</p></div></body>',
+    f'<body><article><header><h1>T</h1><p>by {TEXT}</p></header><p>{TEXT}</p><footer><p>{TEXT}</p></footer></article></body>',
+    f'<body><header><h1>Site</h1></header><article><h1>T</h1><p>{TEXT}</p></article><section id="comments"><article><p>{TEXT * 9}</p></article></section></body>',
+    f'<body><div class="cookie-notice"><p>{TEXT}</p></div><main><h1>T</h1><p>{TEXT}</p></main><div class="site-footer">{TEXT}</div></body>',
+])
+def test_wrappers_do_not_hide_the_text(page):
+    assert html.main_text(page) == f"T {TEXT}"
+
+
+def test_short_parts_beside_the_best_one_stay():
+    links = "".join(f'<a href="#">link {i}</a> ' for i in range(9))
+    page = f"<body><div><section><p>{TEXT}</p></section><section><p>Short para.</p></section><div>{links}</div></div></body>"
+    assert html.main_text(page) == f"{TEXT} Short para."
+
+
+def test_article_of_every_page(spark, sf_dir):
+    """The given pages have one article each: its text, found by a plain pattern, is the main text."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html").collect()
+    found = {r.page_id: r.text for r in queries.op3_tree_scoring(spark, sf_dir).collect()}
+    assert len(found) == len(pages)
+    for row in pages:
+        inner = re.search(r"<article[^>]*>(.*)</article>", row.html or "", re.S)
+        body = re.sub(r"<(script|style).*?</\1>|<!--.*?-->", " ", inner[1] if inner else "", flags=re.S)
+        words = unescape(re.sub(r"<(?!/?(?:a|b|i|em|strong|span|code)\b)[^>]*>", " ", body))
+        assert found[row.page_id].split() == re.sub(r"<[^>]*>", "", words).split() or inner is None
+
+
 def test_pages(spark):
     rows = [(1, "u", None, "x"), (None, None, "<p>a</p>", "x"), (2, "u", "<p>" + "word, " * 40_000 + "</p>", "x")] * 2
     schema = "page_id long, url string, html string, text string"
