@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections import ChainMap
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
-from struct import pack
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -22,7 +23,8 @@ from tokenizers import Tokenizer
 from gamegrain.llm.common import ROW, numbered, prepare, write_out
 
 RANGE = 1 << 16  # bytes of a range
-MEMO, MEMO_BYTES = 200_000, 64  # stretches that a worker remembers, and the longest of them
+MEMO, MEMO_BYTES = 150_000, 64  # stretches that a worker remembers, and the longest of them
+AT_ONCE = 2_000  # stretches in one call of a tokenizer
 FAN = 8  # neighbouring fragments that one task puts together
 # A single space between two signs that are no white space: neither tokenizer has a token across its left side.
 BREAK = re.compile(rb"(?<=[!-~]) (?=[!-~])")
@@ -59,7 +61,6 @@ class Vocabularies:
         self.lengths_a, self.lengths_b = (np.array([*map(len, x)], np.int64) for x in (self.bytes_a, self.bytes_b))
         self.keys = self._pairs()
         self.sizes = self.lengths_a.tolist(), self.lengths_b.tolist()
-        self.number = dict(zip(self.keys.tolist(), range(len(self.keys)), strict=True))
         self.written = [b"%d" % i for i in range(max(map(len, self.sizes)))]
 
     def _pairs(self) -> np.ndarray:
@@ -69,10 +70,12 @@ class Vocabularies:
             for i, token in enumerate(tokens):
                 same.setdefault(token, []).append(i)
             by_bytes.append(same)
-        a, b = by_bytes
-        found = {(i, j) for x, ids in a.items() for k in range(len(x)) for j in b.get(x[k:], ()) for i in ids}
-        found |= {(i, j) for x, ids in b.items() for k in range(len(x)) for i in a.get(x[k:], ()) for j in ids}
-        return np.array(sorted(i * len(self.bytes_b) + j for i, j in found), np.int64)
+        (a, b), width, found = by_bytes, len(self.bytes_b), array("q")
+        for x, ids in a.items():
+            found.extend(i * width + j for k in range(len(x)) for j in b.get(x[k:], ()) for i in ids)
+        for x, ids in b.items():
+            found.extend(i * width + j for k in range(len(x)) for i in a.get(x[k:], ()) for j in ids)
+        return np.unique(np.frombuffer(found, np.int64))
 
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Numbers of pairs that end together."""
@@ -99,37 +102,50 @@ class Vocabularies:
     def stretches(self, wanted: set[bytes]) -> dict[bytes, Stretch | None]:
         """What is known of each stretch after its space; None if a tokenizer does not give it back."""
         found: dict[bytes, Stretch | None] = {}
+        words = iter(wanted)
+        while some := list(islice(words, AT_ONCE)):
+            self._some(some, found)
+        return found
+
+    def _some(self, words: list[bytes], found: dict[bytes, Stretch | None]) -> None:
         texts = {}
-        for word in wanted:
+        for word in words:
             try:
                 texts[word] = word.decode()
             except UnicodeDecodeError:
                 found[word] = None
         many_a = self.a.encode_batch_fast([" " + text for text in texts.values()], add_special_tokens=False)
         many_b = self.b.encode(list(texts.values()), num_threads=1)
+        pairs, ends, made = array("q"), [], []
         for word, a, b in zip(texts, many_a, many_b, strict=True):
             a, part = a.ids, b" " + word
-            same = b"".join([self.bytes_a[i] for i in a]) == part == b"".join([self.bytes_b[i] for i in b])
-            found[word] = self._stretch(a, b) if same else None
-        return found
-
-    def _stretch(self, a: list[int], b: list[int]) -> Stretch:
-        """Groups of a stretch: tokens are taken from whichever side is behind, until both end together."""
-        sizes_a, sizes_b, written, number, width = *self.sizes, self.written, self.number, len(self.bytes_b)
-        groups, links, begin_a, begin_b, j, at_a, at_b = [], [], 0, 0, 0, 0, 0
+            if b"".join([self.bytes_a[i] for i in a]) == part == b"".join([self.bytes_b[i] for i in b]):
+                made.append((word, self._groups(a, b, pairs), len(a), len(b)))
+                ends.append(4 * len(pairs))
+            else:
+                found[word] = None
+        links = np.searchsorted(self.keys, np.frombuffer(pairs, np.int64)).astype(np.int32).tobytes()
+        for (word, groups, n_a, n_b), begin, end in zip(made, [0, *ends], ends, strict=False):
+            found[word] = Stretch(groups, n_a, n_b, links[begin:end])
+
+    def _groups(self, a: list[int], b: list[int], pairs: array) -> bytes:
+        """Groups of a stretch, each with its sign at the end: tokens are taken from whichever side is behind, until both
+        end together. The last tokens of each group are added to ``pairs``."""
+        sizes_a, sizes_b, written, width = *self.sizes, self.written, len(self.bytes_b)
+        groups, begin_a, begin_b, j, at_a, at_b = [], 0, 0, 0, 0, 0
         for i, token in enumerate(a, 1):
             at_a += sizes_a[token]
             while at_b < at_a:
                 at_b += sizes_b[b[j]]
                 j += 1
             if at_a == at_b:
-                links.append(number[token * width + b[j - 1]])
+                pairs.append(token * width + b[j - 1])
                 if i - begin_a == 1 and j - begin_b == 1:
                     groups.append(written[token] + b"|" + written[b[begin_b]])
                 else:
                     groups.append(b",".join([written[x] for x in a[begin_a:i]]) + b"|" + b",".join([written[x] for x in b[begin_b:j]]))
                 begin_a, begin_b = i, j
-        return Stretch(b";".join(groups) + b";", len(a), len(b), pack(f"<{len(links)}i", *links))
+        return b";".join(groups) + b";"
 
 
 class Stretch(NamedTuple):
