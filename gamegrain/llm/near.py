@@ -18,8 +18,12 @@ from gamegrain.llm.components import components
 WORDS = 5  # words of a shingle
 SIMILARITY = 0.8
 # A sketch keeps the PICKS smallest shingles in text order. Two texts of similarity 0.8 agree in a sketch with
-# probability 0.41, so they miss each other in all SKETCHES with 3 in a million.
+# probability 0.41, so they miss each other in all SKETCHES with 3 in a million. That needs many shingles: of few, the
+# smallest ones are too likely those that only one of the texts has. So texts of up to SHORT shingles have sketches of
+# FEW_PICKS, with which two texts miss each other with 3 in ten billion at most (4 against 5 shingles). Texts that a short
+# one may be near to, up to a quarter longer, have both kinds.
 PICKS, SKETCHES = 4, 24
+SHORT, FEW_PICKS = 25, 2
 # Counters that tell common shingles from rare ones. They decide an order only: any values give the same links.
 SLOTS, BLOCKS = 1 << 20, 64
 MEMO = 400_000
@@ -70,16 +74,20 @@ class Shingles:
 
 def sketch(grams: np.ndarray) -> np.ndarray:
     """One key for each sketch: its smallest shingles, in the order in which the text has them."""
-    values = _mix(grams[None, :] ^ _SEEDS[:, None])
-    if len(grams) > PICKS:
-        picked = np.sort(np.argpartition(values, PICKS - 1, axis=1)[:, :PICKS], axis=1)
-        kept = grams[picked]
-    else:
-        kept = np.repeat(grams[None, :], SKETCHES, axis=0)
-    key = _SEEDS.copy()
-    for i in range(kept.shape[1]):
-        key = _mix(key + kept[:, i])
-    return key.astype(np.int64)
+    values, keys = _mix(grams[None, :] ^ _SEEDS[:, None]), []
+    for picks, wanted in ((FEW_PICKS, len(grams) * SIMILARITY <= SHORT), (PICKS, len(grams) > SHORT)):
+        if not wanted:
+            continue
+        if len(grams) > picks:
+            picked = np.sort(np.argpartition(values, picks - 1, axis=1)[:, :picks], axis=1)
+            kept = grams[picked]
+        else:
+            kept = np.repeat(grams[None, :], SKETCHES, axis=0)
+        key = _SEEDS + np.uint64(picks)
+        for i in range(kept.shape[1]):
+            key = _mix(key + kept[:, i])
+        keys.append(key)
+    return np.unique(np.concatenate(keys)).astype(np.int64)
 
 
 def needed(n: int, m: int, similarity: float = SIMILARITY) -> int:
@@ -214,7 +222,8 @@ def near_classes(docs: DataFrame, whole: bool = False, least: float = SIMILARITY
 
     Copies are collapsed first. In each bucket of equal sketch keys all texts are aligned with one centre: the text
     whose other buckets are the fullest, since independent edits leave it closest to all. What fails there goes
-    through ``_rest``. So a bucket of any size gives one pair a text.
+    through ``_rest``. So a bucket of any size gives one pair a text. A very long text is one row with the same number
+    of sketches as any.
     """
     prepare(docs.sparkSession)
     row = F.struct("*") if whole else F.struct("text")

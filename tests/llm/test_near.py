@@ -98,3 +98,22 @@ def test_components(spark):
 
 def test_empty(spark):
     assert near.near_classes(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_short_texts_meet():
+    """Texts of 8 to 40 words and the same with a word more at an end, as unlike as near texts may be: all meet."""
+    rng = random.Random(3)
+    shingles, pairs = near.Shingles(), 0
+    while pairs < 4_000:
+        words = [f"w{rng.randrange(10**9)}" for _ in range(rng.choice((8, 9, 10, 12, 24, 28, 29, 30, 33, 36, 40)))]
+        other = list(words)
+        while True:
+            longer = [*other, "more"] if rng.random() < 0.5 else ["more", *other]
+            a, b = shingles(" ".join(words)), shingles(" ".join(longer))
+            if near.similarity(a, b) == 0:
+                break
+            other = longer
+        a, b = shingles(" ".join(words)), shingles(" ".join(other))
+        if len(a) < len(b):
+            assert set(near.sketch(a).tolist()) & set(near.sketch(b).tolist())
+            pairs += 1
