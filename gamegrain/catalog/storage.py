@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gamegrain.catalog.base import Source, query
-from gamegrain.catalog.tables import CUSTOMERS, ORDERS
+from gamegrain.catalog.tables import CUSTOMERS, ORDERS, USER_STATE
 from gamegrain.operators.gates import GateError
 from gamegrain.operators.keys import key_set
 from gamegrain.operators.observed import Gate
@@ -19,6 +19,7 @@ from gamegrain.sinks.batches import insert_once, stored_batches
 from gamegrain.sinks.bucketed import write_bucketed
 from gamegrain.sinks.documents import overwrite_partitions, put_documents
 from gamegrain.sinks.tables import Table
+from gamegrain.sinks.versioned import VersionedTable
 from gamegrain.sources import drift
 from gamegrain.sources.keyed import keyed_scan
 from gamegrain.sources.listing import listed_files, newest_snapshot, stored_folders
@@ -230,3 +231,17 @@ def map_pivot(t: Source) -> DataFrame:
     maps = pivot_map(t.events, ["user_id"], "event_type", "event_id", ["ts", "event_id"])
     pairs = F.transform(F.map_entries("attributes"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))
     return maps.select("user_id", F.size("attributes").cast("bigint").alias("n_categories"), F.array_join(pairs, ",").alias("firsts"))
+
+
+@query("""
+    SELECT user_id, event_id, event_type, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1
+""")
+def compact_changed_buckets(t: Source) -> DataFrame:
+    """Versions of all users, then later ones of a few: the second compaction takes the buckets of those only."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "user-state"), USER_STATE, 32)
+    late = (F.col("user_id") % 16 == 3) & (F.col("ts") >= F.lit("2024-01-10").cast("timestamp"))
+    for part in (t.events.where(~late), t.events.where(late)):
+        table.append(part)
+        table.compact()
+    return table.read().drop("ts")

@@ -23,6 +23,7 @@ from gamegrain.sinks.batches import BatchWriter, insert_once, stored_batches
 from gamegrain.sinks.contracts import ID, SKATER_GAME_STATS, TEXT, TableSpec
 from gamegrain.sinks.documents import put_documents
 from gamegrain.sinks.tables import Table
+from gamegrain.sinks.versioned import VersionedTable
 from gamegrain.sources.drift import common_schema, drifted, parse_drifting
 from gamegrain.sources.feeds import landed_schema
 from gamegrain.sources.inventory import file_inventory
@@ -205,6 +206,21 @@ def test_one_night_writes_one_block(spark, tmp_path):
     assert len(before) == 11 and len(before - after) == 1 and len(after) == 11
 
 
+def test_compaction_touches_changed_buckets_only(spark, tmp_path):
+    spec = TableSpec("versions", {"id": ID, "body": TEXT, "at": ID}, ("id",), version="at")
+    table = VersionedTable(spark, str(tmp_path / "v"), spec, 8)
+    rows = spark.range(200).select("id", F.lit("old").alias("body"), F.lit(1).alias("at"))
+    assert table.read().isEmpty() and table.compact() == []
+    assert table.append(rows) == list(range(8)) == table.compact() and table.compact() == []
+    newer = rows.where("id IN (3, 4)").withColumn("body", F.lit("new")).withColumn("at", F.lit(2))
+    changed = table.append(newer)
+    assert table.read().count() == 202 and table.latest().count() == 200
+    assert table.compact() == changed and len(changed) <= 2
+    assert {p.name for p in max((tmp_path / "v" / "snapshots").iterdir()).glob("bucket=*")} == {f"bucket={b}" for b in changed}
+    assert {r.body: r.n for r in table.read().groupBy("body").agg(F.count("*").alias("n")).collect()} == {"old": 198, "new": 2}
+    assert table.append(rows.where("false")) == [] and table.compact() == []
+
+
 def box(spark, *ids):
     schema = landed_schema("boxscore")
     skater = {"playerId": 8, "name": {"default": "A"}, "position": "C", "sweaterNumber": 9, "goals": 1, "assists": 0, "points": 1,
