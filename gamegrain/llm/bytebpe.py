@@ -166,7 +166,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` for every row; nothing is shuffled.
 
     NULL and empty texts have no tokens and the digests of nothing. Ids are those of each match of the pattern by
-    itself, without special tokens; bytes are decoded from the ids.
+    itself, without special tokens; bytes are decoded from the ids. Of equal ranks the leftmost pair is merged first.
+    Repeated rows each give their row; an empty table gives an empty result; other columns are not read. A very long text
+    is one row, a very long match goes through the heap.
     """
     prepare(docs.sparkSession)
 

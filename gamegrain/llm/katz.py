@@ -477,7 +477,7 @@ def katz_scores(docs: DataFrame, held_out: Column) -> DataFrame:
 
     Rows where ``held_out`` does not hold are the training text. NULL and empty texts are the end alone. Repeated rows
     count as often as they come. No rows: no result. No training rows: every word is unseen, and ``score`` is
-    ``base_score``.
+    ``base_score``. Other columns are not read. A very long text is one row of its batch, and its words count one by one.
     """
     spark = prepare(docs.sparkSession)
     batches = write_out(encode_batches(docs, held_out), "batches")

@@ -211,7 +211,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece of every row.
 
-    NULL and empty texts are a piece of one id, the end. Repeated rows are packed as often as they come.
+    NULL and empty texts are a piece of one id, the end. Repeated rows are packed as often as they come. A very long text
+    is one row, cut into as many pieces as it needs. Other columns are not read; an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     return pack(cut_pieces(docs, path, capacity), capacity)

@@ -89,7 +89,9 @@ def count_tokens(docs: DataFrame, path: str) -> DataFrame:
     """``doc_id, n_words, n_tokens, score`` for every row; nothing is shuffled.
 
     Pre-tokens are the stretches between white space, each with a boundary mark before it. NULL and empty texts have
-    no tokens and the score 0.
+    no tokens and the score 0. Of segmentations with equal scores the one with fewest tokens counts. Repeated rows each
+    give their row; an empty table gives an empty result; other columns are not read. A very long text is one row, and a
+    very long word has a path of its own in the trie, which is grown anew when it is full.
     """
     prepare(docs.sparkSession)
 
