@@ -24,6 +24,7 @@ from gamegrain.llm.common import ROW, numbered, prepare, write_out
 
 RANGE = 1 << 16  # bytes of a range
 MEMO, MEMO_BYTES = 150_000, 64  # stretches that a worker remembers, and the longest of them
+LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 AT_ONCE = 2_000  # stretches in one call of a tokenizer
 FAN = 8  # neighbouring fragments that one task puts together
 # A single space between two signs that are no white space: neither tokenizer has a token across its left side.
@@ -62,6 +63,15 @@ class Vocabularies:
         self.keys = self._pairs()
         self.sizes = self.lengths_a.tolist(), self.lengths_b.tolist()
         self.written = [b"%d" % i for i in range(max(map(len, self.sizes)))]
+        # Signs that are a token of their own after a letter, at the end of a stretch: no piece holds both.
+        pieces = [*map(self.b.id_to_piece, range(len(self.bytes_b)))]
+        self.stops = {}
+        for sign in ".,":
+            ends = self.a.encode("a" + sign, add_special_tokens=False).ids[1:], self.b.encode("a" + sign)[-1:]
+            alone = [self.bytes_a[i] for i in ends[0]] == [self.bytes_b[i] for i in ends[1]] == [sign.encode()]
+            if alone and not any(re.search("[A-Za-z]" + re.escape(sign), piece) for piece in pieces):
+                a, b = np.array(ends[0]), np.array(ends[1])
+                self.stops[ord(sign)] = Stretch(one_group((a, b)), 1, 1, self._numbers(a * len(self.bytes_b) + b))
 
     def _pairs(self) -> np.ndarray:
         by_bytes = []
@@ -124,10 +134,13 @@ class Vocabularies:
                 ends.append(4 * len(pairs))
             else:
                 found[word] = None
-        links = np.searchsorted(self.keys, np.frombuffer(pairs, np.int64)).astype(np.int32).tobytes()
+        links = self._numbers(np.frombuffer(pairs, np.int64))
         for (word, groups, n_a, n_b), begin, end in zip(made, [0, *ends], ends, strict=False):
             found[word] = Stretch(groups, n_a, n_b, links[begin:end])
 
+    def _numbers(self, keys: np.ndarray) -> bytes:
+        return np.searchsorted(self.keys, keys).astype(np.int32).tobytes()
+
     def _groups(self, a: list[int], b: list[int], pairs: array) -> bytes:
         """Groups of a stretch, each with its sign at the end: tokens are taken from whichever side is behind, until both
         end together. The last tokens of each group are added to ``pairs``."""
@@ -171,12 +184,26 @@ class Memory:
             self.new, self.old, missing = {}, self.new, wanted
         again = {word: self.old[word] for word in missing if word in self.old}
         self.new.update(again)
-        found = self.known.stretches(missing.difference(again))
+        missing = missing.difference(again)
+        stops = self.known.stops
+        ended = [w for w in missing if len(w) > 1 and w[-1] in stops and (w[-2] | 32) in LETTERS]
+        rest = missing.difference(ended).union([word[:-1] for word in ended]).difference(self.new)
+        found = self.known.stretches(rest)
+        for word in ended:  # a stretch with a stop after a letter is that stretch and the stop
+            stem, stop = word[:-1], stops[word[-1]]
+            known = self.new[stem] if stem in self.new else found[stem]
+            found[word] = known and Stretch(known.groups + stop.groups, known.n_a + 1, known.n_b + 1, known.links + stop.links)
         self.new.update((word, made) for word, made in found.items() if len(word) <= MEMO_BYTES)
         long = {word: made for word, made in found.items() if len(word) > MEMO_BYTES}
         return ChainMap(self.new, long) if long else self.new
 
 
+@lru_cache(maxsize=1)
+def remembered(path_a: str, path_b: str) -> Memory:
+    """One memory for each Python worker, kept from task to task."""
+    return Memory(vocabularies(path_a, path_b))
+
+
 def byte_signs() -> dict[str, int]:
     """The sign that stands for each byte in byte-level vocabularies: printable ones stand for themselves, the others
     follow from 256 on."""
@@ -312,8 +339,8 @@ def fragments(parts: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``FRAGMENT`` of each range; a text of one range has its digest already and needs no tokens any more."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = vocabularies(path_a, path_b)
-        memory, none = Memory(known), np.zeros(0, np.int32)
+        known, memory = vocabularies(path_a, path_b), remembered(path_a, path_b)
+        none = np.zeros(0, np.int32)
         nothing = (False, 0, 0, 0, *packed(EMPTY), none, "")
         for pdf in batches:
             # Neither tokenizer has a token across a break, so stretches between breaks are aligned by themselves.
