@@ -38,13 +38,14 @@ def plain_groups(known, text):
     if b"".join(x for _, x in a) != raw or b"".join(x for _, x in b) != raw:
         return []
     groups, at_a, at_b, mine, other = [], 0, 0, [], []
+    a, b = a[::-1], b[::-1]
     while a or b:
         if at_a <= at_b and a:
-            i, x = a.pop(0)
+            i, x = a.pop()
             mine.append(i)
             at_a += len(x)
         else:
-            i, x = b.pop(0)
+            i, x = b.pop()
             other.append(i)
             at_b += len(x)
         if at_a == at_b:
