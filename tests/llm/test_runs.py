@@ -65,7 +65,7 @@ def sequence(rng):
 @pytest.mark.parametrize("appended", [1, 7, 64, 1 << 16])
 def test_every_run_is_caught(appended):
     rng = random.Random(appended)
-    for _ in range(60 if appended < 64 else 400):
+    for _ in range(25 if appended < 64 else 250):
         words = sequence(rng)
         assert runs.find_runs(np.array(words, np.int64), appended) == plain_runs(words), words
 
@@ -73,7 +73,7 @@ def test_every_run_is_caught(appended):
 @pytest.mark.parametrize("exponent, length", [(2, 1), (2, 10), (3, 1), (3, 24), (4, 5), (5, 100)])
 def test_other_least_runs(exponent, length):
     rng = random.Random(exponent * length)
-    for _ in range(150):
+    for _ in range(60):
         words = sequence(rng)
         catcher = runs.SquareCatcher(exponent, length)
         for at in range(0, len(words), 50):
