@@ -9,7 +9,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__
 from gamegrain.catalog.base import Source
 from gamegrain.catalog.storage import bucketed_orders, reassembled
 from gamegrain.operators.gates import GateError
@@ -330,9 +329,3 @@ def test_dotted_columns_keep_their_names(spark):
     rows = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 1)], "`a.id` int, `b.c` string, at int")
     out = latest_by(rows, ["a.id"], "at")
     assert out.columns == rows.columns and sorted(map(tuple, out.collect())) == [(1, "new", 2), (2, "x", 1)]
-
-
-def test_landing_queries_run(spark, sf_dir):
-    known = __spark_entry__.queries()
-    for name in [n for n in known if n.startswith("landing_")]:
-        assert known[name](spark, sf_dir).count() > 0, name
