@@ -10,7 +10,6 @@ from collections import ChainMap
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
-from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -61,8 +60,8 @@ class Vocabularies:
             raise ValueError("a piece goes across a space, so texts cannot be cut there")
         self.lengths_a, self.lengths_b = (np.array([*map(len, x)], np.int64) for x in (self.bytes_a, self.bytes_b))
         self.keys = self._pairs()
-        self.sizes = self.lengths_a.tolist(), self.lengths_b.tolist()
-        self.written = [b"%d" % i for i in range(max(map(len, self.sizes)))]
+        self.width = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = [b"%d%b" % (i, sign) for sign in (b",", b"|", b";") for i in range(self.width)]
         # Signs that are a token of their own after a letter, at the end of a stretch: no piece holds both.
         pieces = [*map(self.b.id_to_piece, range(len(self.bytes_b)))]
         self.stops = {}
@@ -104,62 +103,61 @@ class Vocabularies:
         a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
         if b"".join(map(self.bytes_a.__getitem__, a)) != part:
             return None
-        b = self.b.encode(text[1:], num_threads=1)
+        b = self.b.encode(text[1:])
         if b"".join(map(self.bytes_b.__getitem__, b)) != part:
             return None
         return np.array(a, np.int64), np.array(b, np.int64)
 
     def stretches(self, wanted: set[bytes]) -> dict[bytes, Stretch | None]:
-        """What is known of each stretch after its space; None if a tokenizer does not give it back."""
+        """What is known of each stretch after its space; None if a tokenizer does not give it back.
+
+        Stretches that begin and end with printable signs are tokenized as one text, since no token goes across the
+        spaces between them; the others one by one.
+        """
         found: dict[bytes, Stretch | None] = {}
-        words = iter(wanted)
-        while some := list(islice(words, AT_ONCE)):
-            self._some(some, found)
+        easy = [word for word in wanted if word and 32 < word[0] < 127 and 32 < word[-1] < 127]
+        for at in range(0, len(easy), AT_ONCE):
+            self._learn(easy[at : at + AT_ONCE], found)
+        for word in wanted.difference(found):
+            self._learn([word], found)
         return found
 
-    def _some(self, words: list[bytes], found: dict[bytes, Stretch | None]) -> None:
-        texts = {}
-        for word in words:
-            try:
-                texts[word] = word.decode()
-            except UnicodeDecodeError:
-                found[word] = None
-        many_a = self.a.encode_batch_fast([" " + text for text in texts.values()], add_special_tokens=False)
-        many_b = self.b.encode(list(texts.values()), num_threads=1)
-        pairs, ends, made = array("q"), [], []
-        for word, a, b in zip(texts, many_a, many_b, strict=True):
-            a, part = a.ids, b" " + word
-            if b"".join([self.bytes_a[i] for i in a]) == part == b"".join([self.bytes_b[i] for i in b]):
-                made.append((word, self._groups(a, b, pairs), len(a), len(b)))
-                ends.append(4 * len(pairs))
-            else:
-                found[word] = None
-        links = self._numbers(np.frombuffer(pairs, np.int64))
-        for (word, groups, n_a, n_b), begin, end in zip(made, [0, *ends], ends, strict=False):
-            found[word] = Stretch(groups, n_a, n_b, links[begin:end])
+    def _learn(self, words: list[bytes], found: dict[bytes, Stretch | None]) -> None:
+        tokens = self.tokens(b" " + b" ".join(words))
+        if tokens is not None:
+            found.update(zip(words, self._cut(words, *tokens), strict=True))
+        elif len(words) == 1:
+            found[words[0]] = None
+        else:  # one of them is not given back: halves, until it is alone
+            self._learn(words[: len(words) // 2], found)
+            self._learn(words[len(words) // 2 :], found)
+
+    def _cut(self, words: list[bytes], a: np.ndarray, b: np.ndarray) -> Iterator[Stretch]:
+        """Stretches of neighbouring words from the tokens of their text; where a word ends, tokens of both end."""
+        ends_a, ends_b = np.cumsum(self.lengths_a[a]), np.cumsum(self.lengths_b[b])
+        last_a, last_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        in_a, in_b = np.bincount(group_a), np.bincount(group_b)
+        # A group is written with its tokens of the first kind, then those of the second, each with the sign after it.
+        names = np.empty(len(a) + len(b), np.int64)
+        names[np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]] = a + np.where(last_a, self.width, 0)
+        names[np.arange(len(b)) + np.cumsum(in_a)[group_b]] = b + np.where(last_b, 2 * self.width, 0)
+        written = [*map(self.written.__getitem__, names.tolist())]
+        text = b"".join(written)
+        ends = np.cumsum([1 + len(word) for word in words])
+        upto_a, upto_b = (np.searchsorted(e, ends, side="right") for e in (ends_a, ends_b))
+        sizes = np.concatenate([[0], np.cumsum(np.fromiter(map(len, written), np.int64, len(written)))])
+        cuts = sizes[upto_a + upto_b].tolist()
+        groups = np.concatenate([[0], np.cumsum(last_a)])[upto_a]
+        links, link_cuts = self._numbers(a[last_a] * len(self.bytes_b) + b[last_b]), (4 * groups).tolist()
+        n_a, n_b = np.diff(upto_a, prepend=0).tolist(), np.diff(upto_b, prepend=0).tolist()
+        begins, link_begins = [0, *cuts], [0, *link_cuts]
+        for i in range(len(words)):
+            yield Stretch(text[begins[i] : cuts[i]], n_a[i], n_b[i], links[link_begins[i] : link_cuts[i]])
 
     def _numbers(self, keys: np.ndarray) -> bytes:
         return np.searchsorted(self.keys, keys).astype(np.int32).tobytes()
 
-    def _groups(self, a: list[int], b: list[int], pairs: array) -> bytes:
-        """Groups of a stretch, each with its sign at the end: tokens are taken from whichever side is behind, until both
-        end together. The last tokens of each group are added to ``pairs``."""
-        sizes_a, sizes_b, written, width = *self.sizes, self.written, len(self.bytes_b)
-        groups, begin_a, begin_b, j, at_a, at_b = [], 0, 0, 0, 0, 0
-        for i, token in enumerate(a, 1):
-            at_a += sizes_a[token]
-            while at_b < at_a:
-                at_b += sizes_b[b[j]]
-                j += 1
-            if at_a == at_b:
-                pairs.append(token * width + b[j - 1])
-                if i - begin_a == 1 and j - begin_b == 1:
-                    groups.append(written[token] + b"|" + written[b[begin_b]])
-                else:
-                    groups.append(b",".join([written[x] for x in a[begin_a:i]]) + b"|" + b",".join([written[x] for x in b[begin_b:j]]))
-                begin_a, begin_b = i, j
-        return b";".join(groups) + b";"
-
 
 class Stretch(NamedTuple):
     """A whole stretch between two breaks: its groups are closed, and so is what is known of it."""
