@@ -6,7 +6,6 @@ import hashlib
 import os
 import re
 from array import array
-from collections import ChainMap
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, reduce
@@ -173,9 +172,12 @@ class Memory:
 
     def __init__(self, known: Vocabularies):
         self.known, self.new, self.old = known, {}, {}
+        self.long: list[bytes] = []  # stretches too long to be kept beyond the texts that hold them
 
     def __call__(self, parts: list[list[bytes]]) -> dict[bytes, Stretch | None]:
         """All stretches of some texts."""
+        for word in self.long:
+            self.new.pop(word, None)
         wanted = set().union(*parts)
         missing = wanted.difference(self.new)
         if len(self.new) + len(missing) > MEMO:
@@ -191,9 +193,9 @@ class Memory:
             stem, stop = word[:-1], stops[word[-1]]
             known = self.new[stem] if stem in self.new else found[stem]
             found[word] = known and Stretch(known.groups + stop.groups, known.n_a + 1, known.n_b + 1, known.links + stop.links)
-        self.new.update((word, made) for word, made in found.items() if len(word) <= MEMO_BYTES)
-        long = {word: made for word, made in found.items() if len(word) > MEMO_BYTES}
-        return ChainMap(self.new, long) if long else self.new
+        self.new.update(found)
+        self.long = [word for word in found if len(word) > MEMO_BYTES]
+        return self.new
 
 
 @lru_cache(maxsize=1)
