@@ -17,7 +17,7 @@ from gamegrain.functions.text import FILE_CODE, FOLDER_VALUE, path_key
 from gamegrain.operators.gates import summary, with_content
 from gamegrain.operators.keys import any_of, listed_ids, only
 from gamegrain.session import materialise
-from gamegrain.sinks.documents import overwrite_partitions, put_documents
+from gamegrain.sinks.documents import BLOCK_KEYS, overwrite_partitions, put_documents
 from gamegrain.sinks.tables import read_or_empty
 from gamegrain.sources.feeds import document_schema, landed_schema
 from gamegrain.sources.listing import listed_files
@@ -30,8 +30,9 @@ FILE_DATE = r"/(\d{4}-\d{2}-\d{2})[^/]*\.json$"
 # Fixed value: the game id that starts the name of a file with one document.
 FILE_ID = r"/(\d+)[^/]*\.json$"
 GAME_FEEDS = ("boxscore", "play_by_play", "game_story")
-# Game ids per block, about one load: a night of games writes one block again, not a season.
-GAME_BLOCK = 100
+# Game ids per block, those of a season: a night of games writes the block of its season again. A folder costs the driver
+# some milliseconds at each load, so a backfill must not have one for every few games.
+GAME_BLOCK = BLOCK_KEYS
 
 
 def _path_value(pattern: str) -> Column:
