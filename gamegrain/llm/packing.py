@@ -7,6 +7,7 @@ from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,9 @@ CAPACITY = 4096
 END_ID = 1
 MEMO = 700_000  # stretches that a worker remembers, of this generation and the one before; changes no result
 
+# ASCII signs that the tokenizer takes together when they follow a letter: all but the apostrophe of 's, 't and the like.
+SIGNS = "".join(set(punctuation) - {"'"})
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -54,17 +58,18 @@ class Coder:
         ]
 
     def _learn(self, words: set[str]) -> None:
-        """Adds words to the memory; a word with a stop at its end is that word and the stop."""
+        """Adds words to the memory; a word with signs after its last letter is that word and the signs, two pre-tokens."""
         new, old = self.new, self.old
         again = {word: old[word] for word in words.intersection(old)} if len(words) < len(old) else {}
         new.update(again)
         stops, rest, plain = {}, set(), set()
         for word in words.difference(again):
-            if word[-1] in ".," and word[-2:-1].lower()[-1:].isalpha():
-                stops[word] = word[:-1]
+            if word[-1] in SIGNS and (stem := word.rstrip(SIGNS)) and stem.lower()[-1].isalpha():
+                stops[word] = stem
+                rest.add(stem)
+                rest.add(word[len(stem):])
             else:
                 rest.add(word)
-        rest.update(stops.values(), (".", ","))
         # A word of ASCII letters is a pre-token of its own: it goes to the model without the steps before it.
         capitals = {}
         for word in rest.difference(new):
@@ -81,7 +86,7 @@ class Coder:
         known = list(rest.difference(new))
         new.update(zip(known, self._encode(known), strict=True))
         for word, stem in stops.items():
-            new[word] = new[stem] + new[word[-1]]
+            new[word] = new[stem] + new[word[len(stem):]]
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Many words in one call, told apart by where their tokens begin."""
