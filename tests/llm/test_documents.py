@@ -173,3 +173,13 @@ def test_plan_holds_every_piece_and_is_tight():
     assert (steps[:, 3] + steps[:, 4]).max() <= -(-sum(k * v for k, v in counts.items()) // 100) + 2
     # 60 + 30 leaves 10; 40 is the two-fit's better use of the same gap.
     assert sorted(packing.plan({60: 1, 30: 1, 20: 2}, 100)[:, 0].tolist()) == [20, 30, 60]
+
+
+def test_signs_behind_a_word_are_remembered_apart():
+    """Of words that differ only in the signs behind them one is encoded; ids are those of the tokenizer."""
+    coder = packing.Coder(public_tokenizers.path("word_bpe_49k.json"))
+    asked, encode = [], coder._encode
+    coder._encode = lambda words: asked.extend(words) or encode(words)
+    text = "straße### straße!! straße%%% straße., straße's straße' 7## _- don't!? é́## Straße_ #"
+    assert coder.encode([text]) == [coder.whole(text)]
+    assert asked.count("straße") == 1 and not {"straße###", "straße!!", "straße%%%", "straße.,"} & set(asked)
