@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gamegrain.llm.common import ROW, numbered, prepare, text_of, write_out
+from gamegrain.llm.common import ROW, SHUFFLE, numbered, prepare, text_of, write_out
 from gamegrain.llm.components import components
 
 WORDS = 5  # words of a shingle
@@ -27,8 +27,6 @@ SHORT, FEW_PICKS = 25, 2
 # Counters that tell common shingles from rare ones. They decide an order only: any values give the same links.
 SLOTS, BLOCKS = 1 << 20, 64
 MEMO = 400_000
-# Joins with texts are planned alike at every size, so a run on a part of the data tells what the whole needs.
-SHUFFLE = "shuffle_merge"
 
 _SEEDS = np.random.default_rng(20).integers(1, 2**63, SKETCHES).astype(np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
