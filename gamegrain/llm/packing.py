@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from string import punctuation
 
@@ -14,19 +15,56 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from gamegrain.llm.common import ROW, numbered, prepare, ranked, text_of
 
 CAPACITY = 4096
 END_ID = 1
-MEMO = 700_000  # stretches that a worker remembers, of this generation and the one before; changes no result
+MEMO = 700_000  # stretches that a worker remembers, of this generation and of the one before; changes no result
 
 # ASCII signs that the tokenizer takes together when they follow a letter: all but the apostrophe of 's, 't and the like.
 SIGNS = "".join(set(punctuation) - {"'"})
 
+# A word of letters below U+0100, in lower case: NFC leaves them as they are, and the tokenizer makes one pre-token of them.
+LATIN = re.compile("[a-zªµºß-öø-ÿ]+")
+# How the vocabulary writes the bytes of the signs from U+0080 to U+00FF.
+BYTES = {at: ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(at))[0][0] for at in range(128, 256)}
+# White space for str.split, but not for the tokenizer.
+SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class Memory(dict):
+    """What ``learn`` gives for a word, of at most ``MEMO`` words and as many before them."""
+
+    def __init__(self, learn: Callable[[str], bytes]):
+        super().__init__()
+        self.learn = learn
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        if len(self) >= MEMO:
+            self.old.clear()
+            self.old.update(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
+def folded(text: str) -> str:
+    """The text in lower case, as the tokenizer has it, if all its signs are below U+0100; others stay as they are."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class Coder:
     """Token ids of a text as bytes (unsigned 32 bit, little-endian).
 
@@ -36,66 +74,38 @@ class Coder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.tokens = self.tokenizer.model.tokenize
+        self.memory = Memory(self._learn)
+        # Texts with one of these are encoded whole; the tokenizer looks for its special tokens before all else.
+        self.apart = (*SEPARATORS, *(token.content for token in self.tokenizer.get_added_tokens_decoder().values()))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.split() for text in texts]
-        wanted = set().union(*split)
-        missing = wanted.difference(self.new)
-        if len(self.new) + len(missing) > MEMO:
-            self.old, self.new = self.new, {}
-            missing = wanted
-        self._learn(missing)
-        ids = self.new.__getitem__
-        return [
-            # Four separators are white space for str.split, but not for the tokenizer.
-            self.whole(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else b"".join(map(ids, words))
-            for text, words in zip(texts, split, strict=True)
-        ]
-
-    def _learn(self, words: set[str]) -> None:
-        """Adds words to the memory; a word with signs after its last letter is that word and the signs, two pre-tokens."""
-        new, old = self.new, self.old
-        again = {word: old[word] for word in words.intersection(old)} if len(words) < len(old) else {}
-        new.update(again)
-        stops, rest, plain = {}, set(), set()
-        for word in words.difference(again):
-            if word[-1] in SIGNS and (stem := word.rstrip(SIGNS)) and stem.lower()[-1].isalpha():
-                stops[word] = stem
-                rest.add(stem)
-                rest.add(word[len(stem):])
-            else:
-                rest.add(word)
-        # A word of ASCII letters is a pre-token of its own: it goes to the model without the steps before it.
-        capitals = {}
-        for word in rest.difference(new):
-            if not (word.isascii() and word.isalpha()):
-                continue
-            if (lower := word.lower()) != word:
-                capitals[word] = lower
-            plain.add(lower)
-        tokens = self.tokenizer.model.tokenize
-        for word in plain.difference(new):
-            new[word] = array("I", [token.id for token in tokens(word)]).tobytes()
-        for word, lower in capitals.items():
-            new[word] = new[lower]
-        known = list(rest.difference(new))
-        new.update(zip(known, self._encode(known), strict=True))
-        for word, stem in stops.items():
-            new[word] = new[stem] + new[word[len(stem):]]
+        ids, found = self.memory.__getitem__, []
+        for text in texts:
+            low = folded(text)
+            found.append(self.whole(text) if any(c in low for c in self.apart) else b"".join(map(ids, low.split())))
+        return found
+
+    def _learn(self, word: str) -> bytes:
+        """A word with signs after its last letter is that word and the signs, two pre-tokens."""
+        if word[-1] in SIGNS and (stem := word.rstrip(SIGNS)) and stem.lower()[-1].isalpha():
+            return self.memory[stem] + self.memory[word[len(stem):]]
+        return self._encode([word])[0]
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        """Many words in one call, told apart by where their tokens begin."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids, starts = np.array(found.ids, "<u4"), np.array([at for at, _ in found.offsets], np.int64)
-        ends = np.cumsum(np.array([len(word) + 1 for word in words], np.int64))
-        cuts = (4 * np.searchsorted(starts, ends)).tolist()
-        raw = ids.tobytes()
-        return [raw[at:cut] for at, cut in zip([0, *cuts], cuts, strict=False)]
+        """Words of Latin letters go to the model without the steps before it."""
+        found = []
+        for word in words:
+            low = word.lower()
+            if LATIN.fullmatch(low):
+                tokens = self.tokens(low if low.isascii() else low.translate(BYTES))
+                found.append(array("I", [token.id for token in tokens]).tobytes())
+            else:
+                found.append(self.whole(word))
+        return found
 
 
 @lru_cache(maxsize=1)

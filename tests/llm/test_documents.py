@@ -183,3 +183,24 @@ def test_signs_behind_a_word_are_remembered_apart():
     text = "straße### straße!! straße%%% straße., straße's straße' 7## _- don't!? é́## Straße_ #"
     assert coder.encode([text]) == [coder.whole(text)]
     assert asked.count("straße") == 1 and not {"straße###", "straße!!", "straße%%%", "straße.,"} & set(asked)
+
+
+def test_words_are_remembered_in_lower_case():
+    """Of words that differ only in case one is encoded; ids are those of the tokenizer."""
+    coder = packing.Coder(WORD)
+    asked, encode = [], coder._encode
+    coder._encode = lambda words: asked.extend(words) or encode(words)
+    text = "straße Straße STRAßE Straße! élan Élan ÉLAN, the The THE"
+    assert coder.encode([text]) == [coder.whole(text)]
+    assert sorted(asked) == ["!", ",", "straße", "the", "élan"]
+
+
+def test_ids_of_odd_signs_and_special_tokens_are_those_of_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 3)
+    coder = packing.Coder(WORD)
+    signs = [chr(at) for at in [*range(1, 0x250), 0x301, 0x30C, 0x3A3, 0x3C2, 0x1E9E, 0x2126, 0x212A, 0x212B, 0x4E2D]]
+    texts = [f"A{sign} {sign}B x{sign}y {sign * 2}'S. É{sign}É {sign}" for sign in signs]
+    texts += ["J\u030c Ǆa ΑΣ ΣΑ. İSTANBUL", "word<|endoftext|> a", "<|ENDOFTEXT|> Word", "Don'T X'Ll 12³½ ñandú.", "the of " * 9]
+    for text in texts:
+        assert coder.encode([text]) == [coder.whole(text)], text
+    assert len(coder.memory) <= 3 and len(coder.memory.old) <= 3
