@@ -85,3 +85,11 @@ def test_games_of_closed_weeks_come_again(spark, tmp_path):
     for day in (10, 30):
         run = Landing(spark, str(tmp_path / "raw"), str(tmp_path / "out"), datetime(2025, 10, day))
         assert [r.game_id for r in run.schedule(periods).collect()] == [2025020001]
+
+
+def test_documents_are_read_one_at_a_time(spark, tmp_path):
+    """Rows with nested items are not held by thousands as columns; flat tables are read in batches."""
+    for name, items, batched in (("nested", "sequence(0, id)", False), ("flat", "id", True)):
+        spark.range(9).selectExpr("id", f"{items} AS items").write.parquet(f"{tmp_path}/{name}")
+        plan = spark.read.parquet(f"{tmp_path}/{name}")._jdf.queryExecution().executedPlan().toString()
+        assert f"Batched: {str(batched).lower()}" in plan
