@@ -266,3 +266,54 @@ def test_ids_that_no_joined_trigram_needs_are_not_stored(data, monkeypatch):
         assert not {at for at in range(len(ids)) if ids[at]} - needed
         some += len(needed)
     assert some
+
+
+def test_rare_words_are_counted_as_themselves(data, monkeypatch):
+    """Every repeated word is in the vocabulary, not some of them; how many words have their pairs held changes no score."""
+    docs, labels = data
+    models, _ = quality.fit_tables(docs, labels, words=10)
+    model, whole = models["en"], quality.fit(docs, labels)["en"]
+    assert len(model.words) <= 20 and model.words.size == whole.words.size == len(model.first) and model.sign == whole.sign
+    texts = quality.fit_sample(docs, labels).where("lang = 'en'").collect()
+    repeated = [word for word, n in Counter(word for row in texts for word in row.text.split()).items() if n > 1]
+    ids = quality.word_ids(repeated[::7], model.words, {})[2:-1]
+    assert len(repeated) > 500 and len({*ids.tolist()}) == len(ids) and (ids != quality.UNKNOWN).all()
+    wanted = Counter((r.doc_id, r.n_tokens, round(r.perplexity, 4), r.keep) for r in quality.classify(docs, labels).collect())
+    for hot, held in ((50, 10), (0, 3)):
+        monkeypatch.setattr(quality, "HOT", hot)
+        monkeypatch.setattr(quality, "SHARD_ROWS", 900)
+        rows = quality.classify(docs, labels, words=held).collect()
+        assert Counter((r.doc_id, r.n_tokens, round(r.perplexity, 4), r.keep) for r in rows) == wanted
+
+
+def test_ids_of_any_size_are_counted():
+    """Vocabularies of more words than a key has bits for: what it leaves out is kept beside it."""
+    rng = np.random.default_rng(5)
+    words = np.array([1, 2, 77, (1 << quality.BITS) + 77, 9 << quality.BITS, (1 << 31) - 1])
+    a, b, c = words[rng.integers(0, len(words), (3, 900))]
+    keys, high = quality.keys_of(a, b, c)
+    assert all((x == y).all() for x, y in zip(quality.parts_of(keys, high), (a, b, c), strict=True))
+    tri = Counter(zip(a.tolist(), b.tolist(), c.tolist(), strict=True))
+    x, y, z, facts = quality._sum_contexts(a, b, c, np.ones(900, np.int64))
+    found = [*zip(x.tolist(), y.tolist(), z.tolist(), strict=True)]
+    assert dict(zip(found, facts["n"].tolist(), strict=True)) == tri
+    after, times = quality._sum_pairs(y, z, facts["n"])
+    for i, (p, q, r) in enumerate(found):
+        behind = [n for t, n in tri.items() if t[:2] == (p, q)]
+        assert [facts[name][i] for name in ("ones", "twos", "kinds")] == [behind.count(1), behind.count(2), len(behind)]
+        assert after[i] == sum(t[1:] == (q, r) for t in tri)
+    assert times.sum() == facts["total"].sum() == 900
+    rows = quality._pack_facts("en", *quality.keys_of(x, y, z), z % 3, facts)
+    again, upper, back = quality._unpack_facts(quality.pd.DataFrame(rows, columns=["lang", "part", "high", "size", "keys", *quality.FACTS]), quality.FACTS)
+    assert Counter(zip(*(p.tolist() for p in quality.parts_of(again, upper)), back["n"].tolist(), strict=True)) == Counter(
+        (*t, n) for t, n in tri.items())
+
+
+def test_the_filter_loses_nothing(spark):
+    keys = np.unique(np.random.default_rng(6).integers(0, 1 << 62, 5_000))
+    rows = spark.createDataFrame([(int(k),) for k in keys], "k long")
+    assert [r.h for r in rows.select(F.xxhash64("k").alias("h")).collect()] == quality.xxhash64(keys).tolist()
+    bits, size = quality._filter(rows, len(keys)), 8 * 16_384
+    assert len(bits) * 8 == size
+    marked = np.unpackbits(bits, bitorder="little")
+    assert marked[quality.xxhash64(keys) & size - 1].all() and marked.sum() <= len(keys)
