@@ -30,8 +30,9 @@ FILE_DATE = r"/(\d{4}-\d{2}-\d{2})[^/]*\.json$"
 # Fixed value: the game id that starts the name of a file with one document.
 FILE_ID = r"/(\d+)[^/]*\.json$"
 GAME_FEEDS = ("boxscore", "play_by_play", "game_story")
-# Game ids per block, about one load: a night of games writes one block again, not a season.
-GAME_BLOCK = 100
+# Game ids per block, about one load: a night of games writes one block again, not a season. A backfill goes to blocks
+# of a season's ids, one folder each.
+GAME_BLOCK, SEASON_BLOCK = 100, 10_000
 
 
 def _path_value(pattern: str) -> Column:
@@ -107,7 +108,7 @@ class Landing:
         """Lands one feed of the given games and returns the documents."""
         documents = self._raw_of(feed, games, "game_id").drop("file_path")
         documents = materialise(only(documents, games.select(F.col("game_id").alias("id")), "id"), feed)
-        put_documents(documents, f"{self.out}/{feed}", "id", "updated_at", GAME_BLOCK)
+        put_documents(documents, f"{self.out}/{feed}", "id", "updated_at", GAME_BLOCK, SEASON_BLOCK)
         return documents
 
     def _raw_of(self, feed: str, keys: DataFrame, key: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gamegrain.operators.gates import expect_distinct
 from gamegrain.operators.keys import without
 from gamegrain.plans import boxscores, players, schedule, stories, teams
-from gamegrain.plans.landing import GAME_BLOCK
+from gamegrain.plans.landing import GAME_BLOCK, SEASON_BLOCK
 from gamegrain.session import materialise
 from gamegrain.sinks import contracts
 from gamegrain.sinks.tables import Table, read_or_empty
@@ -82,7 +82,7 @@ class Loads:
         fresh = materialise(fresh, "fresh-games")
         if fresh.isEmpty():
             return False
-        table.append(build(keyed_scan(stored, fresh, "id", GAME_BLOCK).drop("block")))
+        table.append(build(keyed_scan(stored, fresh, "id", GAME_BLOCK, wide_keys=SEASON_BLOCK).drop("block")))
         return True
 
     def follow_games(self, spec: contracts.TableSpec, feed: str, build, checkpoints: str) -> int:

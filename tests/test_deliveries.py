@@ -329,3 +329,43 @@ def test_dotted_columns_keep_their_names(spark):
     rows = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 1)], "`a.id` int, `b.c` string, at int")
     out = latest_by(rows, ["a.id"], "at")
     assert out.columns == rows.columns and sorted(map(tuple, out.collect())) == [(1, "new", 2), (2, "x", 1)]
+
+
+def test_a_backfill_writes_few_folders(spark, tmp_path):
+    """Games of many blocks go to one folder a season, later nights to blocks of their own; a game is stored once, wherever it lies."""
+    path, first = tmp_path / "docs", 2024020001
+
+    def put(ids, at):
+        frame = spark.createDataFrame([(i, at) for i in ids], "id bigint, at int")
+        put_documents(frame, str(path), "id", "at", 100, 10_000)
+
+    def folders():
+        return {f.parent.name: f for f in path.rglob("*.parquet")}
+
+    put([*range(first, first + 1_000), *range(first + 10_000, first + 11_000)], 1)
+    before = folders()
+    assert len(before) == 2
+    put(range(first + 1_000, first + 1_010), 2)
+    after = folders()
+    assert len(after) == 3 and before.items() <= after.items()
+    put([first + 5, first + 1_005, first + 1_006, first + 1_500], 3)
+    put(range(first + 900, first + 2_900), 4)
+    rows = spark.read.schema("id bigint, at int, block bigint").parquet(str(path))
+    at = {r.id: r.at for r in rows.collect()}
+    wanted = dict.fromkeys([*range(first, first + 1_000), *range(first + 10_000, first + 11_000)], 1) | {first + 5: 3}
+    assert rows.count() == len(at) == 3_900 and at == wanted | dict.fromkeys(range(first + 900, first + 2_900), 4)
+    assert len(folders()) == 4
+    keys = spark.createDataFrame([(first + 5,), (first + 1_005,), (first + 10_000,), (1,)], "id bigint")
+    found = keyed_scan(rows, keys, "id", 100, wide_keys=10_000)
+    assert sorted(r.id for r in found.collect()) == [first + 5, first + 1_005, first + 10_000] and files_read(found) <= 3
+
+
+def test_a_backfill_over_blocks_of_a_night(spark, tmp_path):
+    """Storage of an earlier version, in blocks of 100 only, keeps its games there; they are replaced, not doubled."""
+    path = str(tmp_path / "docs")
+    frame = spark.range(5_000, 6_500).select("id", F.lit(1).alias("at"))
+    put_documents(frame, path, "id", "at", 100)
+    put_documents(spark.range(5_990, 8_000).select("id", F.lit(2).alias("at")), path, "id", "at", 100, 10_000)
+    rows = spark.read.schema("id bigint, at int, block bigint").parquet(path)
+    assert rows.count() == 3_000 == rows.select("id").distinct().count() and rows.where("at = 2").count() == 2_010
+    assert rows.where("id = 6499").select("block").first()[0] == 64 and rows.where("id >= 6500").select("block").distinct().count() == 1
